@@ -121,9 +121,17 @@ class SliceBaskets:
 
 
 def slice_baskets(enriched: DataFrame, p: MiningParams, item: str = "product_name") -> SliceBaskets:
+    """The joins behind ``enriched`` run once: its distinct rows are written, all else reads them.
+
+    The order cap costs a histogram and a join, so it is only applied when some slice is over it.
+    """
     keys = list(p.slice_cols)
-    present = presence(enriched.select(*keys, "order_id", F.col(item).alias("item")))
-    used = present.join(slice_order_cap(enriched, p), [*keys, "order_id"])
+    present = materialize(presence(enriched.select(*keys, "order_id", F.col(item).alias("item"))), "presence")
+    sizes = materialize(slice_order_counts(present, p), "slice_sizes")  # one row per slice
+    if sizes.filter(F.col("n_orders") > p.max_orders).isEmpty():
+        used = present.join(sizes, keys)
+    else:
+        used = present.join(slice_order_cap(present, p), [*keys, "order_id"])
     tops = materialize(
         slice_top_items(used, p).filter(F.col("cnt") / F.col("n_orders") >= p.min_support), "slice_items"
     )

@@ -7,7 +7,7 @@ within ``eps``.
 Exact, without comparing a crowd with itself:
 
 * equal rows collapse to one weighted point;
-* points fall into small cells whose diagonal is at most ``eps``. A cell that holds
+* points fall into small cells whose diagonal is within ``eps``. A cell that holds
   ``min_samples`` rows makes all of them core, with no distance computed. A third of all rows in
   one place costs one cell summary;
 * the remaining points sit in cells of fewer than ``min_samples`` rows. Their cells meet
@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +29,59 @@ from pyspark.sql import functions as F
 from stockweave.session import materialize
 
 
-def _total(terms) -> Column:
-    return reduce(add, terms)
+def _cell(xs: Sequence[str], side: float) -> Column:
+    return F.array(*[F.floor(F.col(x) / F.lit(side)).cast("int") for x in xs])
+
+
+def _cells_of(x: Column, side: float) -> Column:
+    return F.transform(x, lambda v: F.floor(v / F.lit(side)).cast("int"))
+
+
+def _matrix(batch, column: str):
+    values = batch.column(column)
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+
+
+def _box_test(square: float):
+    """Drop cells out of reach of the point; tell whether the rest lie wholly within reach."""
+
+    def test(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            x, lo, hi = (_matrix(batch, c) for c in ("x", "lo", "hi"))
+            whole = (np.maximum(np.abs(x - lo), np.abs(x - hi)) ** 2).sum(1) <= square
+            near = (np.maximum(np.maximum(lo - x, x - hi), 0) ** 2).sum(1) <= square
+            out = [batch.column(c) for c in ("x", "t_cell", "n")] + [pa.array(whole)]
+            kept = pa.RecordBatch.from_arrays(out, names=["x", "t_cell", "n", "whole"])
+            yield kept.filter(pa.array(whole | near))
+
+    return test
+
+
+def _within(pairs: DataFrame, square: float) -> DataFrame:
+    """Pairs (x, y, t_cell, w) whose points are within reach."""
+
+    def test(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            gap = _matrix(batch, "x") - _matrix(batch, "y")
+            yield batch.select(["x", "t_cell", "w"]).filter(pa.array((gap * gap).sum(1) <= square))
+
+    return pairs.mapInArrow(test, "x array<double>, t_cell array<int>, w long")
+
+
+def _combinations(choices: Sequence[Column]) -> Column:
+    """Array of all arrays that take one element of each array column."""
+
+    def extended(heads: Column, axis: Column) -> Column:
+        return F.flatten(
+            F.transform(heads, lambda head: F.transform(axis, lambda a: F.concat(head, F.array(a))))
+        )
+
+    return reduce(extended, choices[1:], F.transform(choices[0], lambda a: F.array(a)))
 
 
 def density_noise(
@@ -39,113 +90,88 @@ def density_noise(
     key: str,
     eps: float = 1.2,
     min_samples: int = 10,
-    block_dims: int = 3,
+    block_dims: int | None = None,
 ) -> DataFrame:
-    """(key, is_noise) for every row. ``block_dims``: leading features that form the blocks."""
+    """(key, is_noise) for every row.
+
+    ``block_dims`` leading features form the blocks. Each one triples the blocks a cell looks
+    into and divides the cells per block, so the default grows with the logarithm of the cells.
+    """
     dims = range(len(features))
     xs = [f"x{i}" for i in dims]
     side = eps / math.sqrt(len(features)) * (1 - 1e-9)  # diagonal strictly within eps
-    reach = math.ceil(eps / side)  # cells per block side, so that a block side is >= eps
+    reach = math.floor(1 + eps / side)  # cells further apart than this on one axis are out of reach
     square = eps * eps
 
     named = df.select(key, *[F.col(f).cast("double").alias(x) for f, x in zip(features, xs)])
-    points = named.groupBy(*xs).agg(F.count(F.lit(1)).alias("w")).withColumn(
-        "cell", F.concat_ws(",", *[F.floor(F.col(x) / F.lit(side)) for x in xs])
-    )
+    points = named.groupBy(*xs).agg(F.count(F.lit(1)).alias("w")).withColumn("cell", _cell(xs, side))
     points = materialize(points, "density_points")
     cells = materialize(
         points.groupBy("cell").agg(
             F.sum("w").alias("n"),
-            *[F.min(x).alias(f"lo_{x}") for x in xs],
-            *[F.max(x).alias(f"hi_{x}") for x in xs],
+            F.array(*[F.min(x) for x in xs]).alias("lo"),
+            F.array(*[F.max(x) for x in xs]).alias("hi"),
         ),
         "density_cells",
     )
     dense = F.col("n") >= min_samples
+    if block_dims is None:
+        block_dims = round(math.log10(max(cells.count(), 10)))
+    axes = list(dims)[: max(1, block_dims)]
 
-    def extended(heads: Column, axis: Column) -> Column:
-        return F.flatten(
-            F.transform(heads, lambda head: F.transform(axis, lambda a: F.concat(head, F.array(a))))
-        )
-
-    def blocks(shifted: bool) -> Column:
-        axes = []
-        for x in xs[:block_dims]:
-            at = F.floor(F.floor(F.col(f"lo_{x}") / F.lit(side)) / F.lit(reach))
-            axes.append(F.sequence(at - 1, at + 1) if shifted else F.array(at))
-        out = F.transform(axes[0], lambda a: F.array(a))
-        for axis in axes[1:]:
-            out = extended(out, axis)
-        return out
-
-    bounds = [c for x in xs for c in (f"lo_{x}", f"hi_{x}")]
+    # Cell pairs: blocks of ``reach`` cells a side, so a cell looks into the adjacent blocks only.
+    block = [F.floor(F.col("cell")[i] / F.lit(reach)) for i in axes]
+    around = [F.sequence(b - 1, b + 1) for b in block]
     probes = cells.filter(~dense).select(
         F.col("cell").alias("p_cell"),
-        *[F.col(c).alias(f"p_{c}") for c in bounds],
-        F.explode(blocks(True)).alias("block"),
+        *[F.col("cell")[i].alias(f"p{i}") for i in dims],
+        F.explode(_combinations(around)).alias("block"),
     )
     targets = cells.select(
-        F.col("cell").alias("t_cell"), "n", *bounds, F.explode(blocks(False)).alias("block")
+        F.col("cell").alias("t_cell"), "n", *[F.col("cell")[i].alias(f"t{i}") for i in dims],
+        F.array(*block).alias("block"),
     )
-    gap = _total(
-        [
-            F.pow(
-                F.greatest(
-                    F.col(f"p_lo_{x}") - F.col(f"hi_{x}"), F.col(f"lo_{x}") - F.col(f"p_hi_{x}"), F.lit(0.0)
-                ),
-                2,
-            )
-            for x in xs
-        ]
-    )
-    near = probes.join(targets, "block").filter(gap <= square).select("p_cell", "t_cell", "n", *bounds)
+    beside = reduce(and_, [F.abs(F.col(f"p{i}") - F.col(f"t{i}")) <= reach for i in dims])
+    near = probes.join(targets, (probes["block"] == targets["block"]) & beside).select("p_cell", "t_cell")
 
     # Point against neighbour cell: wholly inside, wholly outside, or cut by the sphere.
+    x = F.array(*xs)
     sparse = points.join(cells.filter(~dense).select("cell"), "cell", "left_semi").select(
-        F.col("cell").alias("p_cell"), F.struct(*xs).alias("p"), *xs
-    )
-    far = _total(
-        [F.pow(F.greatest(F.abs(F.col(x) - F.col(f"lo_{x}")), F.abs(F.col(x) - F.col(f"hi_{x}"))), 2) for x in xs]
-    )
-    close = _total(
-        [F.pow(F.greatest(F.col(f"lo_{x}") - F.col(x), F.col(x) - F.col(f"hi_{x}"), F.lit(0.0)), 2) for x in xs]
+        F.col("cell").alias("p_cell"), x.alias("x")
     )
+    boxes = cells.select(F.col("cell").alias("t_cell"), "n", "lo", "hi")
+    met = sparse.join(near, "p_cell").join(boxes, "t_cell").select("x", "t_cell", "n", "lo", "hi")
     met = materialize(
-        sparse.join(near, "p_cell")
-        .withColumn("whole", far <= square)
-        .filter(F.col("whole") | (close <= square))
-        .select("p_cell", "p", "t_cell", "n", "whole"),
+        met.mapInArrow(_box_test(square), "x array<double>, t_cell array<int>, n long, whole boolean"),
         "density_met",
     )
-    members = points.select(F.col("cell").alias("t_cell"), F.struct(*xs).alias("q"), "w")
-    # A point that one whole dense cell has already settled needs no single distances.
-    settled = met.groupBy("p").agg(F.sum(F.when(F.col("whole"), F.col("n")).otherwise(0)).alias("sure"))
+    members = points.select(F.col("cell").alias("t_cell"), x.alias("y"), "w")
+    # A point that whole cells have already settled needs no single distances.
+    settled = met.groupBy("x").agg(F.sum(F.when(F.col("whole"), F.col("n")).otherwise(0)).alias("sure"))
     open_points = settled.filter(F.col("sure") < min_samples)
-    cut = met.filter(~F.col("whole")).join(open_points.select("p"), "p", "left_semi")
-    apart = _total([F.pow(F.col(f"p.{x}") - F.col(f"q.{x}"), 2) for x in xs])
+    cut = met.filter(~F.col("whole")).join(open_points.select("x"), "x", "left_semi")
     hits = materialize(
-        cut.join(members, "t_cell").filter(apart <= square).groupBy("p", "t_cell").agg(F.sum("w").alias("hit")),
+        _within(cut.join(members, "t_cell").select("x", "y", "t_cell", "w"), square)
+        .groupBy("x", "t_cell")
+        .agg(F.sum("w").alias("hit")),
         "density_hits",
     )
-    reached = (
-        met.filter("whole").select("p", "t_cell", F.col("n").alias("hit")).unionByName(hits)
-    )
-    counted = reached.groupBy("p").agg(F.sum("hit").alias("neighbours"))
+    reached = met.filter("whole").select("x", "t_cell", F.col("n").alias("hit")).unionByName(hits)
+    counted = reached.groupBy("x").agg(F.sum("hit").alias("neighbours"))
     # Cores outside dense cells, and who they reach. Being near a dense cell's row is enough.
-    core = counted.filter(F.col("neighbours") >= min_samples).select("p")
+    core = counted.filter(F.col("neighbours") >= min_samples).select("x")
     dense_cells = cells.filter(dense).select(F.col("cell").alias("t_cell"))
-    by_dense = reached.join(dense_cells, "t_cell", "left_semi").select("p")
-    core_points = core.select(
-        F.concat_ws(",", *[F.floor(F.col(f"p.{x}") / F.lit(side)) for x in xs]).alias("t_cell"), F.col("p").alias("q")
-    )
-    lonely = counted.join(core, "p", "left_anti").join(by_dense.distinct(), "p", "left_anti").select("p")
-    by_core = (
-        met.join(lonely, "p", "left_semi")
+    by_dense = reached.join(dense_cells, "t_cell", "left_semi").select("x").distinct()
+    lonely = counted.join(core, "x", "left_anti").join(by_dense, "x", "left_anti").select("x")
+    core_points = core.select(_cells_of(F.col("x"), side).alias("t_cell"), F.col("x").alias("y"))
+    core_pairs = (
+        met.join(lonely, "x", "left_semi")
         .join(core_points, "t_cell")
-        .filter(apart <= square)
-        .select("p")
-        .distinct()
+        .select("x", "y", "t_cell", F.lit(1).cast("long").alias("w"))
+    )
+    by_core = _within(core_pairs, square).select("x").distinct()
+    noise = lonely.join(by_core, "x", "left_anti").select(
+        *[F.col("x")[i].alias(f) for i, f in enumerate(xs)], F.lit(1).alias("_noise")
     )
-    noise = lonely.join(by_core, "p", "left_anti").select("p.*", F.lit(1).alias("_noise"))
     out = named.join(noise, xs, "left")
     return out.select(key, F.coalesce("_noise", F.lit(0)).alias("is_noise"))
