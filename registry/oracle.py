@@ -554,6 +554,16 @@ twin("segment_affinity", """
              / (sum(lines) OVER (PARTITION BY product_name) / sum(lines) OVER ()), 6) AS affinity
     FROM (SELECT segment, product_name, count(*) AS lines FROM enr GROUP BY ALL)""")
 
+CTES["ext"] = """
+    SELECT translate(p_name, 'eo', 'ai') AS name, min(p_type) AS category FROM part GROUP BY 1"""
+twin("fuzzy_product_match", """
+    SELECT p.product_name, m.name AS match_name, m.category, CAST(m.dist AS INTEGER) AS distance
+    FROM (SELECT DISTINCT p_name AS product_name FROM part) p LEFT JOIN (
+        SELECT a.p_name, name, category, levenshtein(a.p_name, name) AS dist
+        FROM (SELECT DISTINCT p_name FROM part) a JOIN ext ON levenshtein(a.p_name, name) <= 2
+        QUALIFY row_number() OVER (PARTITION BY a.p_name ORDER BY levenshtein(a.p_name, name), name) = 1) m
+    ON p.product_name = m.p_name""")
+
 # ---- segmentation
 twin("feature_medians", " UNION ALL ".join(
     f"SELECT '{f}' AS feature, round({f}, 6) AS median FROM zmed" for f in CLUSTER_FEATURES

@@ -19,6 +19,7 @@ from stockweave.operators import (
     forecast,
     fusion,
     master,
+    matching,
     profile,
     rules,
     segments,
@@ -77,7 +78,7 @@ def dated_orders(spark: SparkSession, d: str) -> DataFrame:
 
 def enriched(spark: SparkSession, d: str, item: str = "product_name") -> DataFrame:
     """Basket lines with their context; ``item`` is the master column mined as product."""
-    lines = adapter.sales(spark, d, ["order_id", "user_id", "order_hour_of_day", item]).withColumnRenamed(
+    lines = adapter.sales(spark, d, ["order_id", "order_hour_of_day", item]).withColumnRenamed(
         item, "product_name"
     )
     days = adapter.weather(spark, d).select(F.col("date").alias("order_date"), "rain_bin")
@@ -564,6 +565,14 @@ def _(spark, d):
     return rounded(rules.segment_affinity(enriched(spark, d)))
 
 
+@query("fuzzy_product_match")
+def _(spark, d):
+    part = adapter.table(spark, d, "part")
+    external = part.select(F.translate("p_name", "eo", "ai").alias("name"), F.col("p_type").alias("category"))
+    catalogue = external.groupBy("name").agg(F.min("category").alias("category"))
+    return matching.fuzzy_product_match(part.select(F.col("p_name").alias("product_name")), catalogue)
+
+
 # ---- segmentation ----------------------------------------------------------
 
 SEGMENT = SegmentParams(restarts=3, sweep_restarts=1, max_iter=20)

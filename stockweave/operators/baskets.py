@@ -23,13 +23,18 @@ NO_BIN = "nan"  # a missing rain bin is a slice of its own
 
 
 def enrich_baskets(lines: DataFrame, context: DataFrame, segments: DataFrame) -> DataFrame:
-    """(order_id, user_id, product_name, segment, time_slot, weather_bin) per order line."""
+    """(order_id, user_id, product_name, segment, time_slot, weather_bin) per order line.
+
+    Orders meet their user's segment first, at order grain, so the lines are joined once and a
+    user with very many lines is only as heavy as their orders.
+    """
     who = segments.select("user_id", F.col("cluster_name").alias("segment"))
-    when = context.select("order_id", F.coalesce("rain_bin", F.lit(NO_BIN)).alias("weather_bin"))
+    orders = context.select(
+        "order_id", "user_id", F.coalesce("rain_bin", F.lit(NO_BIN)).alias("weather_bin")
+    ).join(who, "user_id")
     return (
-        lines.select("order_id", "user_id", "order_hour_of_day", "product_name")
-        .join(when, "order_id")
-        .join(who, "user_id")
+        lines.select("order_id", "order_hour_of_day", "product_name")
+        .join(orders, "order_id")
         .select(
             "order_id",
             "user_id",

@@ -9,6 +9,7 @@ from stockweave.functions.ordering import running_sum
 from stockweave.functions.scalars import mixed_hash
 from stockweave.operators.master import distinct_orders
 from stockweave.params import RfmParams, TimelineParams
+from stockweave.session import materialize
 
 WEATHER_COLUMNS = ("temp_bin", "rain_bin", "temp_max", "precipitation")
 EVENT_COLUMNS = (
@@ -70,7 +71,7 @@ def user_rfm(master: DataFrame, params: RfmParams = RfmParams()) -> DataFrame:
         F.count(F.lit(1)).alias("line_count"),
     )
     gap = "days_since_prior_order"
-    per_user = per_order.groupBy("user_id").agg(
+    sums = per_order.groupBy("user_id").agg(
         F.coalesce(F.sum(gap), F.lit(0.0)).alias("days_active"),
         F.count("order_id").alias("frequency"),
         F.avg("basket_size").alias("avg_basket_size"),
@@ -81,13 +82,9 @@ def user_rfm(master: DataFrame, params: RfmParams = RfmParams()) -> DataFrame:
         F.try_divide(F.sum("liked"), F.sum("line_count")).alias("organic_affinity"),
         F.coalesce(F.avg(gap), F.lit(0.0)).alias("avg_days_between_orders"),
     )
-    orders = distinct_orders(master, ("order_id", "user_id", gap))
-    longest = (
-        orders.groupBy("user_id")
-        .agg(F.coalesce(F.sum(gap), F.lit(0.0)).alias("d"))
-        .agg(F.max("d").alias("m"))
-        .scalar()
-    )
+    # One row per user, read twice below: once for the longest history, once for the result.
+    per_user = materialize(sums, "user_sums")
+    longest = per_user.agg(F.max("days_active").alias("m")).scalar()
     return per_user.select(
         "user_id",
         (longest - F.col("days_active")).alias("recency"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockweave.functions.quantiles import exact_quantiles
 from stockweave.operators.baskets import pair_counts, presence, rank_baskets
+from stockweave.session import materialize
 
 HOURS = tuple(range(24))
 DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
@@ -56,6 +57,7 @@ def basket_sizes(lines: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, std, min, quartiles, max (exact, linear interpolation)."""
+    df = materialize(df.select(column), "described")  # read by the sketch, the count and the moments
     quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75])
     at = {p: F.max(F.when(F.col("probability") == p, F.col("value"))) for p in (0.25, 0.5, 0.75)}
     q = quartiles.agg(F.struct(at[0.25].alias("q25"), at[0.5].alias("q50"), at[0.75].alias("q75")).alias("q")).scalar()
@@ -118,12 +120,11 @@ def copurchase_corr(lines: DataFrame, n: int = 30) -> DataFrame:
     On 0/1 data Pearson equals phi, which needs only counts; pairs come from distinct baskets of
     at most ``n`` products, each with the number of orders that share it.
     """
-    top = top_products(lines, n).select(F.col("product_name").alias("item"))
+    top = materialize(top_products(lines, n).select(F.col("product_name").alias("item")), "top_products")
     present = presence(lines.select("order_id", F.col("product_name").alias("item"))).join(
         F.broadcast(top), "item", "left_semi"
     )
-    ranked = top.select("item", F.col("item").alias("rank"))
-    baskets = rank_baskets(present.join(F.broadcast(ranked), "item"))
+    baskets = materialize(rank_baskets(present.withColumnRenamed("item", "rank")), "top_baskets")
     singles = baskets.select(F.explode("items").alias("a"), "weight").groupBy("a").agg(F.sum("weight").alias("n_a"))
     pairs = pair_counts(baskets).select(F.col("itemset")[0].alias("a"), F.col("itemset")[1].alias("b"), F.col("cnt").alias("n_ab"))
     total = baskets.agg(F.sum("weight").alias("t")).scalar()
