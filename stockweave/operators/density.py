@@ -4,16 +4,13 @@ Only the noise flag of density clustering is wanted, so no cluster ids are built
 core = at least ``min_samples`` rows within ``eps``, itself included; noise = not core and no core
 within ``eps``.
 
-Exact, without comparing a crowd with itself:
+Exact, and a crowd is never compared with itself:
 
-* equal rows collapse to one weighted point;
+* equal rows collapse to one weighted point, however many there are;
 * points fall into small cells whose diagonal is within ``eps``. A cell that holds
-  ``min_samples`` rows makes all of them core, with no distance computed. A third of all rows in
-  one place costs one cell summary;
-* the remaining points sit in cells of fewer than ``min_samples`` rows. Their cells meet
-  neighbouring cells by an equi-join on coarse blocks, filtered by the distance of the cells'
-  bounding boxes; a neighbour cell wholly within reach counts by its total alone;
-* point distances are taken only for the cells that are cut by the eps-sphere.
+  ``min_samples`` rows makes all of them core, with no distance computed;
+* the other points are compared with their surroundings tile by tile: tiles are bounded pieces of
+  coarse blocks, and only tiles whose bounding boxes are within ``eps`` of each other meet.
 """
 
 from __future__ import annotations
@@ -21,67 +18,109 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockweave.functions.tiles import matrix, per_tile_pair, squared_distances
 from stockweave.session import materialize
 
 
-def _cell(xs: Sequence[str], side: float) -> Column:
-    return F.array(*[F.floor(F.col(x) / F.lit(side)).cast("int") for x in xs])
+def _combinations(choices: Sequence[Column]) -> Column:
+    """Array of all arrays that take one element of each array column."""
 
+    def extended(heads: Column, axis: Column) -> Column:
+        return F.flatten(
+            F.transform(heads, lambda head: F.transform(axis, lambda a: F.concat(head, F.array(a))))
+        )
 
-def _cells_of(x: Column, side: float) -> Column:
-    return F.transform(x, lambda v: F.floor(v / F.lit(side)).cast("int"))
+    return reduce(extended, choices[1:], F.transform(choices[0], lambda a: F.array(a)))
 
 
-def _matrix(batch, column: str):
-    values = batch.column(column)
-    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+def tiled_points(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, tile_rows: int, block_dims: int | None) -> DataFrame:
+    """Distinct points: tile, r (place in the tile), x, w (rows), dense, block."""
+    side = eps / math.sqrt(len(features)) * (1 - 1e-9)  # diagonal strictly within eps
+    xs = [F.col(f).cast("double") for f in features]
+    points = df.select(F.array(*xs).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("w"))
+    cell = F.transform("x", lambda v: F.floor(v / F.lit(side)))
+    points = materialize(points.withColumn("cell", cell), "density_points")
+    if block_dims is None:
+        block_dims = round(math.log10(max(points.count() / tile_rows, 1)))
+    axes = range(min(block_dims, len(features)))
+    block = F.array(F.lit(0), *[F.floor(F.col("x")[i] / F.lit(eps)).cast("int") for i in axes])
+    points = points.withColumn("block", block)
+    dense = points.groupBy("cell").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_samples)
+    blocks = points.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile_rows)).alias("pieces"))
+    tiled = (
+        points.join(blocks, "block")
+        .join(dense.select("cell", F.lit(True).alias("dense")), "cell", "left")
+        .select(
+            F.concat_ws(
+                ":", F.col("block").cast("array<string>"), F.pmod(F.xxhash64("x"), F.col("pieces")).cast("string")
+            ).alias("tile"),
+            "block",
+            "x",
+            "w",
+            F.coalesce("dense", F.lit(False)).alias("dense"),
+        )
+    )
+    place = F.row_number().over(Window.partitionBy("tile").orderBy("x"))  # a tile is bounded
+    return materialize(tiled.withColumn("r", place), "density_tiles")
+
+
+def tile_pairs(points: DataFrame, dims: int, eps: float) -> DataFrame:
+    """(p_tile, t_tile) with a point that needs looking at on the left, boxes within ``eps``."""
+    x = [F.col("x")[i] for i in range(dims)]
+    tiles = materialize(
+        points.groupBy("tile", "block").agg(
+            F.array(*[F.min(v) for v in x]).alias("lo"),
+            F.array(*[F.max(v) for v in x]).alias("hi"),
+            F.bool_or(~F.col("dense")).alias("open"),
+        ),
+        "density_boxes",
+    )
+    width = len(points.select("block").first()["block"]) if not points.isEmpty() else 1
+    around = [F.sequence(F.col("block")[i] - 1, F.col("block")[i] + 1) for i in range(1, width)]
+    near = F.transform(_combinations(around), lambda b: F.concat(F.array(F.lit(0)), b)) if around else F.array("block")
+    left = tiles.filter("open").select(
+        F.col("tile").alias("p_tile"), F.col("lo").alias("p_lo"), F.col("hi").alias("p_hi"), F.explode(near).alias("block")
+    )
+    gap = F.zip_with(
+        F.zip_with("p_lo", "hi", lambda a, b: a - b),
+        F.zip_with("lo", "p_hi", lambda a, b: a - b),
+        lambda a, b: F.greatest(a, b, F.lit(0.0)),
+    )
+    apart = F.aggregate(gap, F.lit(0.0), lambda total, g: total + g * g)
+    return (
+        left.join(tiles.select(F.col("tile").alias("t_tile"), "lo", "hi", "block"), "block")
+        .filter(apart <= eps * eps * (1 + 1e-9))
+        .select("p_tile", "t_tile")
+    )
 
 
-def _box_test(square: float):
-    """Drop cells out of reach of the point; tell whether the rest lie wholly within reach."""
+def reached_rows(points: DataFrame, pairs: DataFrame, probe: Column, target: Column, eps: float) -> DataFrame:
+    """(tile, r, hit): rows of the target points within ``eps`` of each probe point."""
+    square = eps * eps
 
-    def test(batches):
+    def hits(mine, theirs):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            x, lo, hi = (_matrix(batch, c) for c in ("x", "lo", "hi"))
-            whole = (np.maximum(np.abs(x - lo), np.abs(x - hi)) ** 2).sum(1) <= square
-            near = (np.maximum(np.maximum(lo - x, x - hi), 0) ** 2).sum(1) <= square
-            out = [batch.column(c) for c in ("x", "t_cell", "n")] + [pa.array(whole)]
-            kept = pa.RecordBatch.from_arrays(out, names=["x", "t_cell", "n", "whole"])
-            yield kept.filter(pa.array(whole | near))
-
-    return test
-
-
-def _within(pairs: DataFrame, square: float) -> DataFrame:
-    """Pairs (x, y, t_cell, w) whose points are within reach."""
-
-    def test(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            gap = _matrix(batch, "x") - _matrix(batch, "y")
-            yield batch.select(["x", "t_cell", "w"]).filter(pa.array((gap * gap).sum(1) <= square))
-
-    return pairs.mapInArrow(test, "x array<double>, t_cell array<int>, w long")
-
-
-def _combinations(choices: Sequence[Column]) -> Column:
-    """Array of all arrays that take one element of each array column."""
-
-    def extended(heads: Column, axis: Column) -> Column:
-        return F.flatten(
-            F.transform(heads, lambda head: F.transform(axis, lambda a: F.concat(head, F.array(a))))
+        count = np.zeros(len(mine), dtype=np.int64)
+        if len(mine) and len(theirs):
+            near = squared_distances(matrix(mine, "x"), matrix(theirs, "x"), square) <= square
+            count = near.astype(np.int64) @ theirs.column("w").to_numpy()
+        some = np.nonzero(count)[0]
+        return pa.table(
+            {"tile": mine.column("own").take(some), "r": mine.column("r").take(some), "hit": pa.array(count[some])}
         )
 
-    return reduce(extended, choices[1:], F.transform(choices[0], lambda a: F.array(a)))
+    cols = ["tile", F.col("tile").alias("own"), "r", "x", "w"]
+    found = per_tile_pair(
+        pairs, points.filter(probe).select(*cols), points.filter(target).select(*cols), hits,
+        "tile string, r int, hit long",
+    )
+    return found.groupBy("tile", "r").agg(F.sum("hit").alias("hit"))
 
 
 def density_noise(
@@ -90,88 +129,28 @@ def density_noise(
     key: str,
     eps: float = 1.2,
     min_samples: int = 10,
+    tile_rows: int = 1_000,
     block_dims: int | None = None,
 ) -> DataFrame:
     """(key, is_noise) for every row.
 
-    ``block_dims`` leading features form the blocks. Each one triples the blocks a cell looks
-    into and divides the cells per block, so the default grows with the logarithm of the cells.
+    ``block_dims`` leading features cut space into blocks of side ``eps``; by default their
+    number grows with the logarithm of the tiles the points fill.
     """
-    dims = range(len(features))
-    xs = [f"x{i}" for i in dims]
-    side = eps / math.sqrt(len(features)) * (1 - 1e-9)  # diagonal strictly within eps
-    reach = math.floor(1 + eps / side)  # cells further apart than this on one axis are out of reach
-    square = eps * eps
-
-    named = df.select(key, *[F.col(f).cast("double").alias(x) for f, x in zip(features, xs)])
-    points = named.groupBy(*xs).agg(F.count(F.lit(1)).alias("w")).withColumn("cell", _cell(xs, side))
-    points = materialize(points, "density_points")
-    cells = materialize(
-        points.groupBy("cell").agg(
-            F.sum("w").alias("n"),
-            F.array(*[F.min(x) for x in xs]).alias("lo"),
-            F.array(*[F.max(x) for x in xs]).alias("hi"),
-        ),
-        "density_cells",
-    )
-    dense = F.col("n") >= min_samples
-    if block_dims is None:
-        block_dims = round(math.log10(max(cells.count(), 10)))
-    axes = list(dims)[: max(1, block_dims)]
-
-    # Cell pairs: blocks of ``reach`` cells a side, so a cell looks into the adjacent blocks only.
-    block = [F.floor(F.col("cell")[i] / F.lit(reach)) for i in axes]
-    around = [F.sequence(b - 1, b + 1) for b in block]
-    probes = cells.filter(~dense).select(
-        F.col("cell").alias("p_cell"),
-        *[F.col("cell")[i].alias(f"p{i}") for i in dims],
-        F.explode(_combinations(around)).alias("block"),
-    )
-    targets = cells.select(
-        F.col("cell").alias("t_cell"), "n", *[F.col("cell")[i].alias(f"t{i}") for i in dims],
-        F.array(*block).alias("block"),
-    )
-    beside = reduce(and_, [F.abs(F.col(f"p{i}") - F.col(f"t{i}")) <= reach for i in dims])
-    near = probes.join(targets, (probes["block"] == targets["block"]) & beside).select("p_cell", "t_cell")
-
-    # Point against neighbour cell: wholly inside, wholly outside, or cut by the sphere.
-    x = F.array(*xs)
-    sparse = points.join(cells.filter(~dense).select("cell"), "cell", "left_semi").select(
-        F.col("cell").alias("p_cell"), x.alias("x")
-    )
-    boxes = cells.select(F.col("cell").alias("t_cell"), "n", "lo", "hi")
-    met = sparse.join(near, "p_cell").join(boxes, "t_cell").select("x", "t_cell", "n", "lo", "hi")
-    met = materialize(
-        met.mapInArrow(_box_test(square), "x array<double>, t_cell array<int>, n long, whole boolean"),
-        "density_met",
-    )
-    members = points.select(F.col("cell").alias("t_cell"), x.alias("y"), "w")
-    # A point that whole cells have already settled needs no single distances.
-    settled = met.groupBy("x").agg(F.sum(F.when(F.col("whole"), F.col("n")).otherwise(0)).alias("sure"))
-    open_points = settled.filter(F.col("sure") < min_samples)
-    cut = met.filter(~F.col("whole")).join(open_points.select("x"), "x", "left_semi")
-    hits = materialize(
-        _within(cut.join(members, "t_cell").select("x", "y", "t_cell", "w"), square)
-        .groupBy("x", "t_cell")
-        .agg(F.sum("w").alias("hit")),
-        "density_hits",
-    )
-    reached = met.filter("whole").select("x", "t_cell", F.col("n").alias("hit")).unionByName(hits)
-    counted = reached.groupBy("x").agg(F.sum("hit").alias("neighbours"))
-    # Cores outside dense cells, and who they reach. Being near a dense cell's row is enough.
-    core = counted.filter(F.col("neighbours") >= min_samples).select("x")
-    dense_cells = cells.filter(dense).select(F.col("cell").alias("t_cell"))
-    by_dense = reached.join(dense_cells, "t_cell", "left_semi").select("x").distinct()
-    lonely = counted.join(core, "x", "left_anti").join(by_dense, "x", "left_anti").select("x")
-    core_points = core.select(_cells_of(F.col("x"), side).alias("t_cell"), F.col("x").alias("y"))
-    core_pairs = (
-        met.join(lonely, "x", "left_semi")
-        .join(core_points, "t_cell")
-        .select("x", "y", "t_cell", F.lit(1).cast("long").alias("w"))
+    points = tiled_points(df, features, eps, min_samples, tile_rows, block_dims)
+    pairs = materialize(tile_pairs(points, len(features), eps), "density_pairs")
+    counts = reached_rows(points, pairs, ~F.col("dense"), F.lit(True), eps)
+    flagged = materialize(
+        points.join(counts, ["tile", "r"], "left").withColumn(
+            "core", F.col("dense") | (F.coalesce("hit", F.lit(0)) >= min_samples)
+        ).drop("hit"),
+        "density_cores",
     )
-    by_core = _within(core_pairs, square).select("x").distinct()
-    noise = lonely.join(by_core, "x", "left_anti").select(
-        *[F.col("x")[i].alias(f) for i, f in enumerate(xs)], F.lit(1).alias("_noise")
+    saved = reached_rows(flagged, pairs, ~F.col("core"), F.col("core"), eps)
+    noise = (
+        flagged.filter("NOT core")
+        .join(saved, ["tile", "r"], "left_anti")
+        .select("x", F.lit(1).alias("is_noise"))
     )
-    out = named.join(noise, xs, "left")
-    return out.select(key, F.coalesce("_noise", F.lit(0)).alias("is_noise"))
+    rows = df.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
+    return rows.join(noise, "x", "left").select(key, F.coalesce("is_noise", F.lit(0)).alias("is_noise"))

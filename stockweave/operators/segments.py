@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stockweave.functions.quantiles import exact_quantiles, quantile_map
 from stockweave.functions.scalars import mixed_hash
+from stockweave.functions.tiles import matrix, per_tile_pair, squared_distances
 from stockweave.operators.density import density_noise
 from stockweave.params import SegmentParams
 from stockweave.session import materialize
@@ -120,50 +121,61 @@ def silhouettes(
     """(label, silhouette) of several labelings, Euclidean, on a reproducible sample.
 
     The measure compares every pair of the sample, which the parameter bounds. The sample is cut
-    into blocks of about ``block`` rows; one task handles one pair of blocks and returns only
-    distance sums per point and cluster.
+    into tiles of about ``block`` rows; one task handles two tiles and returns only distance sums
+    per point and cluster.
     """
-    picked = (
-        df.select(F.col(key).alias("id"), F.array(*[F.col(c).cast("int") for c in labels]).alias("c"), F.array(*features).alias("x"))
+    picked = materialize(
+        df.select(
+            F.col(key).alias("id"),
+            F.array(*[F.col(c).cast("int") for c in labels]).alias("c"),
+            F.array(*features).alias("x"),
+        )
         .orderBy(mixed_hash(F.col("id"), seed), "id")
-        .limit(sample)
+        .limit(sample),
+        "silhouette_sample",
+    )
+    tiles = picked.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(block))).cast("int").alias("n"))
+    points = picked.withColumn("tile", (mixed_hash(F.col("id"), seed + 1) % tiles.scalar()).cast("int"))
+    pairs = (
+        tiles.select("n", F.explode(F.expr("sequence(0, n - 1)")).alias("p_tile"))
+        .select("p_tile", F.explode(F.expr("sequence(0, n - 1)")).alias("t_tile"))
     )
-    picked = materialize(picked, "silhouette_sample")
-    blocks = picked.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(block))).cast("int").alias("n")).scalar()
-    picked = picked.withColumn("n", blocks).withColumn("b", (mixed_hash(F.col("id"), seed + 1) % F.col("n")).cast("int"))
-    every = F.expr("sequence(0, n - 1)")
-    left = picked.select("id", "c", "x", F.col("b").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"))
-    right = picked.select("id", "c", "x", F.explode(every).alias("i"), F.col("b").alias("j"), F.lit(1).alias("side"))
-    n_labels = len(labels)
-
-    def distance_sums(part):
+
+    def distance_sums(mine, theirs):
         import numpy as np
-        import pandas as pd
-
-        mine, theirs = part[part.side == 0], part[part.side == 1]
-        frames = [pd.DataFrame({"id": [], "l": [], "c": [], "other": [], "d": [], "n": []})]
-        if len(mine) and len(theirs):
-            a, b = np.vstack(mine.x.to_list()), np.vstack(theirs.x.to_list())
-            dist = np.sqrt(sum((a[:, [k]] - b[:, k]) ** 2 for k in range(a.shape[1])))
-            own, others = np.vstack(mine.c.to_list()), np.vstack(theirs.c.to_list())
-            for which in range(n_labels):
-                for other in np.unique(others[:, which]):
-                    hit = others[:, which] == other
-                    frames.append(
-                        pd.DataFrame(
-                            {"id": mine.id, "l": which, "c": own[:, which], "other": other,
-                             "d": dist[:, hit].sum(1), "n": hit.sum()}
-                        )
-                    )
-        return pd.concat(frames[1:] or frames)
-
-    sums = (
-        left.unionByName(right)
-        .groupBy("i", "j")
-        .applyInPandas(distance_sums, "id long, l int, c int, other int, d double, n long")
-        .groupBy("l", "id", "c", "other")
-        .agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+        import pyarrow as pa
+
+        if not len(mine) or not len(theirs):
+            return pa.table({c: pa.array([], t) for c, t in arrow.items()})
+        dist = np.sqrt(squared_distances(matrix(mine, "x"), matrix(theirs, "x")))
+        own, others = matrix(mine, "c"), matrix(theirs, "c")
+        parts = []
+        for which in range(own.shape[1]):
+            found, place = np.unique(others[:, which], return_inverse=True)
+            member = np.zeros((len(place), len(found)))
+            member[np.arange(len(place)), place] = 1.0
+            n = len(mine) * len(found)
+            parts.append(
+                pa.table(
+                    {
+                        "id": np.repeat(mine.column("id").to_numpy(), len(found)),
+                        "l": np.full(n, which, np.int32),
+                        "c": np.repeat(own[:, which], len(found)).astype(np.int32),
+                        "other": np.tile(found, len(mine)).astype(np.int32),
+                        "d": (dist @ member).ravel(),
+                        "n": np.tile(member.sum(0).astype(np.int64), len(mine)),
+                    }
+                )
+            )
+        return pa.concat_tables(parts)
+
+    import pyarrow as pa
+
+    arrow = {"id": pa.int64(), "l": pa.int32(), "c": pa.int32(), "other": pa.int32(), "d": pa.float64(), "n": pa.int64()}
+    found = per_tile_pair(
+        pairs, points, points, distance_sums, "id long, l int, c int, other int, d double, n long"
     )
+    sums = found.groupBy("l", "id", "c", "other").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
     own = F.col("c") == F.col("other")
     point = sums.groupBy("l", "id").agg(
         F.max(F.when(own & (F.col("n") > 1), F.col("d") / (F.col("n") - 1))).alias("a"),

@@ -393,12 +393,14 @@ def _noise(x, eps, k):
     return ~core & ~(near & core[None]).any(1)
 
 
-@pytest.mark.parametrize("dims,eps,k,block_dims", [(2, 0.3, 6, None), (4, 0.9, 8, 2), (3, 0.7, 10, 3), (1, 0.05, 5, 1)])
-def test_density_noise_matches_all_pairs(spark, dims, eps, k, block_dims):
+@pytest.mark.parametrize(
+    "dims,eps,k,tile,block_dims", [(2, 0.3, 6, 50, None), (4, 0.9, 8, 1000, 2), (3, 0.7, 10, 20, 3), (1, 0.05, 5, 7, 1)]
+)
+def test_density_noise_matches_all_pairs(spark, dims, eps, k, tile, block_dims):
     x, _ = _blobs(400, dims, seed=dims)
     x = np.vstack([x, np.repeat(x[:1], 200, axis=0), np.full((3, dims), 40.0)])  # copies, and a far trio
     df, cols = _frame(spark, x)
-    got = {r.user_id: r.is_noise for r in density.density_noise(df.repartition(6), cols, "user_id", eps, k, block_dims).collect()}
+    got = {r.user_id: r.is_noise for r in density.density_noise(df.repartition(6), cols, "user_id", eps, k, tile, block_dims).collect()}
     want = _noise(x, eps, k)
     assert [got[i] for i in range(len(x))] == [int(v) for v in want]
     assert 0 < want.sum() < len(x)
