@@ -637,14 +637,24 @@ CTES["lastdate"] = "SELECT max(order_date) AS d FROM lagged"
 CTES["held_stock"] = """
     SELECT store_id, product_name, CAST(round_even(avg(units_sold) * CAST(0.8 AS DOUBLE), 0) AS INTEGER) AS current_stock
     FROM lagged WHERE units_sold > 0 AND order_date < (SELECT d FROM lastdate) - 29 GROUP BY ALL"""
+CTES["unit_values"] = """
+    SELECT p_name AS product_name, CAST(sum(CAST(trunc(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100 AS unit_value
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name"""
 twin("backtest_30d", """
-    SELECT store_id, count(*) AS checked, count(*) FILTER (WHERE demand > current_stock) AS stockouts,
-           count(*) FILTER (WHERE demand > current_stock AND demand <= supply) AS avoided_stockouts,
-           count(*) FILTER (WHERE demand > 0 AND supply > 2 * demand) AS overstocks
-    FROM (SELECT a.store_id, b.units_sold AS demand, current_stock,
-                 current_stock + greatest(a.lag_7d - current_stock, 0) AS supply
-          FROM lagged a JOIN lagged b ON a.store_id = b.store_id AND a.product_name = b.product_name
-               AND b.order_date = a.order_date + 1
-          JOIN held_stock s ON s.store_id = a.store_id AND s.product_name = a.product_name
-          WHERE a.order_date >= (SELECT d FROM lastdate) - 29)
+    SELECT store_id, CAST(sum(checked) AS BIGINT) AS checked, CAST(sum(short) AS BIGINT) AS stockouts,
+           CAST(sum(avoided) AS BIGINT) AS avoided_stockouts, CAST(sum(over) AS BIGINT) AS overstocks,
+           round(sum(avoided * unit_value), 4) AS avoided_value
+    FROM (SELECT store_id, product_name, count(*) AS checked, count(*) FILTER (WHERE demand > current_stock) AS short,
+                 count(*) FILTER (WHERE demand > current_stock AND demand <= supply) AS avoided,
+                 count(*) FILTER (WHERE demand > 0 AND supply > 2 * demand) AS over
+          FROM (SELECT a.store_id, a.product_name, b.units_sold AS demand, current_stock,
+                       current_stock + greatest(a.lag_7d - current_stock, 0) AS supply
+                FROM lagged a JOIN lagged b ON a.store_id = b.store_id AND a.product_name = b.product_name
+                     AND b.order_date = a.order_date + 1
+                JOIN held_stock s ON s.store_id = a.store_id AND s.product_name = a.product_name
+                WHERE a.order_date >= (SELECT d FROM lastdate) - 29)
+          GROUP BY store_id, product_name) JOIN unit_values USING (product_name)
     GROUP BY store_id""")
+twin("sku_actual_vs_forecast", """
+    SELECT store_id, order_date, units_sold, forecast_units FROM fc
+    WHERE product_name = (SELECT product_name FROM fc GROUP BY product_name ORDER BY sum(units_sold) DESC, product_name LIMIT 1)""")

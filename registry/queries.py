@@ -702,4 +702,19 @@ def _(spark, d):
 
 @query("backtest_30d")
 def _(spark, d):
-    return fusion.backtest(materialize(lagged(spark, d), "lagged"), forecast.naive_prediction())
+    price = adapter.table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"), (F.col("l_extendedprice") * 100).cast("long").alias("cents")
+    )
+    names = adapter.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("product_name"))
+    per_part = price.groupBy("p_partkey").agg(F.sum("cents").alias("c"), F.count("cents").alias("n"))
+    values = per_part.join(names, "p_partkey").groupBy("product_name").agg(
+        (F.sum("c") / F.sum("n") / 100).alias("unit_value")
+    )
+    return rounded(fusion.backtest(materialize(lagged(spark, d), "lagged"), forecast.naive_prediction(), values), 4)
+
+
+@query("sku_actual_vs_forecast")
+def _(spark, d):
+    forecasts = materialize(naive_forecasts(spark, d), "forecasts")
+    best = demand.top_skus(forecasts.select("product_name", "units_sold"), 1).select("product_name").scalar()
+    return fusion.actual_vs_forecast(forecasts, best)

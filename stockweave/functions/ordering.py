@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockweave.functions.scalars import mixed_hash
+from stockweave.session import materialize
 
 
 def running_sum(
@@ -111,9 +112,10 @@ def ordered_codes(df: DataFrame, column: str, code: str, splitters: int = 64) ->
     """Distinct values of ``column`` with their 0-based position in sorted order.
 
     Splitters, a bounded sample of the distinct values taken by hash, cut the value range into
-    blocks; positions are block offset + rank in the block, so no task sorts all values.
+    blocks; positions are block offset + rank in the block, so no task sorts all values. The
+    distinct values are written once, ``df`` is scanned once.
     """
-    values = df.select(column).distinct()
+    values = materialize(df.select(column).distinct(), "distinct_values")
     cuts = (
         values.filter(F.col(column).isNotNull())
         .orderBy(F.xxhash64(column), column)

@@ -160,12 +160,18 @@ def store_actions_top(actions: DataFrame, n: int = 50) -> DataFrame:
     return actions.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= n)
 
 
-def backtest(demand: DataFrame, forecast: Column, days: int = 30, p: FusionParams = FusionParams()) -> DataFrame:
+def backtest(
+    demand: DataFrame,
+    forecast: Column,
+    unit_values: DataFrame,
+    days: int = 30,
+    p: FusionParams = FusionParams(),
+) -> DataFrame:
     """Hold-out check over the last ``days``: stock comes from the history before, the
     recommendation of one day meets the demand of the next.
 
-    Per store: stock-outs without the recommendation, those it avoids, and overstock (stock plus
-    order more than twice the demand).
+    Per store: stock-outs without the recommendation, those it avoids, overstock (stock plus
+    order more than twice the demand), and the avoided ones times the product's ``unit_value``.
     """
     last = demand.agg(F.max("order_date").alias("d")).scalar()
     start = F.date_sub(last, days - 1)
@@ -175,16 +181,31 @@ def backtest(demand: DataFrame, forecast: Column, days: int = 30, p: FusionParam
         .select(*SERIES, "order_date", "units_sold", half_even_int(F.greatest(forecast, F.lit(0.0))).alias("forecast_units"))
     )
     next_day = held.select(*SERIES, F.date_sub("order_date", 1).alias("order_date"), F.col("units_sold").alias("demand"))
-    pairs = (
+    supply = F.col("current_stock") + F.greatest(F.col("forecast_units") - F.col("current_stock"), F.lit(0))
+    short = F.col("demand") > F.col("current_stock")
+    per_series = (
         held.join(next_day, [*SERIES, "order_date"])
         .join(stock, list(SERIES))
-        .withColumn("order_qty", F.greatest(F.col("forecast_units") - F.col("current_stock"), F.lit(0)))
-        .withColumn("supply", F.col("current_stock") + F.col("order_qty"))
+        .withColumn("supply", supply)
+        .groupBy(*SERIES)
+        .agg(
+            F.count(F.lit(1)).alias("checked"),
+            F.count_if(short).alias("stockouts"),
+            F.count_if(short & (F.col("demand") <= F.col("supply"))).alias("avoided_stockouts"),
+            F.count_if((F.col("demand") > 0) & (F.col("supply") > 2 * F.col("demand"))).alias("overstocks"),
+        )
     )
-    short = F.col("demand") > F.col("current_stock")
-    return pairs.groupBy("store_id").agg(
-        F.count(F.lit(1)).alias("checked"),
-        F.count_if(short).alias("stockouts"),
-        F.count_if(short & (F.col("demand") <= F.col("supply"))).alias("avoided_stockouts"),
-        F.count_if((F.col("demand") > 0) & (F.col("supply") > 2 * F.col("demand"))).alias("overstocks"),
+    sums = ("checked", "stockouts", "avoided_stockouts", "overstocks")
+    value = F.col("avoided_stockouts") * F.coalesce("unit_value", F.lit(0.0))
+    return (
+        per_series.join(unit_values, "product_name", "left")
+        .groupBy("store_id")
+        .agg(*[F.sum(c).alias(c) for c in sums], F.sum(value).alias("avoided_value"))
+    )
+
+
+def actual_vs_forecast(forecasts: DataFrame, product: str | Column) -> DataFrame:
+    """One product's daily actual and forecast units per store."""
+    return forecasts.filter(F.col("product_name") == product).select(
+        "store_id", "order_date", "units_sold", "forecast_units"
     )

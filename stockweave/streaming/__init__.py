@@ -1,0 +1 @@
+"""No streaming operators: the work covered here is batch over files."""

@@ -9,11 +9,8 @@ from stockweave.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    conf = {}
-    if not os.environ.get("SPARK_CONF_DIR"):
-        conf["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("checkpoints"))
-    return local_session("4", "4g", **conf)
+def spark():
+    return local_session("4", "4g")
 
 
 @pytest.fixture
