@@ -87,7 +87,8 @@ def enriched(spark: SparkSession, d: str, item: str = "product_name") -> DataFra
 
 
 def daily(spark: SparkSession, d: str) -> DataFrame:
-    lines = adapter.sales(spark, d, ["order_id", "product_name"])
+    """The dated orders are those of the master table, so they filter the lines by themselves."""
+    lines = adapter.product_lines(spark, d)
     return demand.daily_demand(lines, dated_orders(spark, d), adapter.demographics(spark, d))
 
 

@@ -34,6 +34,7 @@ def exact_quantiles(
     probs = [float(p) for p in probabilities]
     lows = F.array(*[F.lit(max(p - slack, 0.0)) for p in probs])
     highs = F.array(*[F.lit(min(p + slack, 1.0)) for p in probs])
+    few = F.col("n") <= 10 * accuracy  # a bracket of few ranks is not worth the risk: rank all
     brackets = (  # columns x probabilities rows
         long.groupBy("feature")
         .agg(
@@ -56,8 +57,8 @@ def exact_quantiles(
             "feature",
             F.col("b.p").alias("probability"),
             ((F.col("n") - 1) * F.col("b.p")).alias("_rank"),
-            F.when(F.col("b.p") <= slack, F.col("mn")).otherwise(F.col("b.lo")).alias("_lo"),
-            F.when(F.col("b.p") >= 1 - slack, F.col("mx")).otherwise(F.col("b.hi")).alias("_hi"),
+            F.when(few | (F.col("b.p") <= slack), F.col("mn")).otherwise(F.col("b.lo")).alias("_lo"),
+            F.when(few | (F.col("b.p") >= 1 - slack), F.col("mx")).otherwise(F.col("b.hi")).alias("_hi"),
         )
     )
     key = ["feature", "probability"]

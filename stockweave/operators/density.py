@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,18 +25,19 @@ from stockweave.functions.tiles import matrix, per_tile_pair, squared_distances
 from stockweave.session import materialize
 
 
-def _combinations(choices: Sequence[Column]) -> Column:
-    """Array of all arrays that take one element of each array column."""
+def _extended(heads: Column, axis: Column) -> Column:
+    """Every array of ``heads`` with every value of ``axis`` at its end."""
+    return F.flatten(F.transform(heads, lambda head: F.transform(axis, lambda a: F.concat(head, F.array(a)))))
 
-    def extended(heads: Column, axis: Column) -> Column:
-        return F.flatten(
-            F.transform(heads, lambda head: F.transform(axis, lambda a: F.concat(head, F.array(a))))
-        )
-
-    return reduce(extended, choices[1:], F.transform(choices[0], lambda a: F.array(a)))
 
-
-def tiled_points(df: DataFrame, features: Sequence[str], eps: float, min_samples: int, tile_rows: int, block_dims: int | None) -> DataFrame:
+def tiled_points(
+    df: DataFrame,
+    features: Sequence[str],
+    eps: float,
+    min_samples: int,
+    tile_rows: int,
+    block_dims: int | None,
+) -> DataFrame:
     """Distinct points: tile, r (place in the tile), x, w (rows), dense, block."""
     side = eps / math.sqrt(len(features)) * (1 - 1e-9)  # diagonal strictly within eps
     xs = [F.col(f).cast("double") for f in features]
@@ -46,8 +46,8 @@ def tiled_points(df: DataFrame, features: Sequence[str], eps: float, min_samples
     points = materialize(points.withColumn("cell", cell), "density_points")
     if block_dims is None:
         block_dims = round(math.log10(max(points.count() / tile_rows, 1)))
-    axes = range(min(block_dims, len(features)))
-    block = F.array(F.lit(0), *[F.floor(F.col("x")[i] / F.lit(eps)).cast("int") for i in axes])
+    axes = range(max(1, min(block_dims, len(features))))
+    block = F.array(*[F.floor(F.col("x")[i] / F.lit(eps)).cast("int") for i in axes])
     points = points.withColumn("block", block)
     dense = points.groupBy("cell").agg(F.sum("w").alias("n")).filter(F.col("n") >= min_samples)
     blocks = points.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile_rows)).alias("pieces"))
@@ -79,11 +79,14 @@ def tile_pairs(points: DataFrame, dims: int, eps: float) -> DataFrame:
         ),
         "density_boxes",
     )
-    width = len(points.select("block").first()["block"]) if not points.isEmpty() else 1
-    around = [F.sequence(F.col("block")[i] - 1, F.col("block")[i] + 1) for i in range(1, width)]
-    near = F.transform(_combinations(around), lambda b: F.concat(F.array(F.lit(0)), b)) if around else F.array("block")
+    around = F.aggregate(
+        F.transform("block", lambda b: F.sequence(b - 1, b + 1)),
+        F.expr("array(cast(array() as array<int>))"),
+        _extended,
+    )
     left = tiles.filter("open").select(
-        F.col("tile").alias("p_tile"), F.col("lo").alias("p_lo"), F.col("hi").alias("p_hi"), F.explode(near).alias("block")
+        F.col("tile").alias("p_tile"), F.col("lo").alias("p_lo"), F.col("hi").alias("p_hi"),
+        F.explode(around).alias("block"),
     )
     gap = F.zip_with(
         F.zip_with("p_lo", "hi", lambda a, b: a - b),

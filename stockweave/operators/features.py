@@ -19,7 +19,9 @@ EVENT_COLUMNS = (
 
 def assign_order_dates(master: DataFrame, params: TimelineParams = TimelineParams()) -> DataFrame:
     """(order_id, user_id, order_number, order_date): anchor + user offset + days so far."""
-    orders = distinct_orders(master, ("order_id", "user_id", "order_number", "days_since_prior_order"))
+    orders = materialize(  # read by the block totals and by the rows
+        distinct_orders(master, ("order_id", "user_id", "order_number", "days_since_prior_order")), "orders"
+    )
     gap = F.coalesce("days_since_prior_order", F.lit(0.0))
     dated = running_sum(orders, ["user_id"], "order_number", gap, "_elapsed")
     offset = mixed_hash(F.col("user_id"), params.salt) % F.lit(params.start_spread)

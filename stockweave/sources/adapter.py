@@ -126,6 +126,14 @@ def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame
     return out.select(*columns)
 
 
+def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, product_name) of all order lines, for operators that bring their own orders."""
+    names = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
+    )
+    return order_products(spark, sf_dir).join(names, "product_id").select("order_id", "product_name")
+
+
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users with area (nation), city and store (region) from the real keys."""
     customer = table(spark, sf_dir, "customer").select(

@@ -143,3 +143,12 @@ def test_exact_quantiles(spark):
     for p in probs:
         assert got["a", p] == pytest.approx(np.quantile(a, p), rel=1e-12)
         assert got["b", p] == pytest.approx(np.quantile(kept, p), rel=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 150, 151, 2500])
+def test_exact_quantiles_of_few_rows(spark, n):
+    x = np.random.default_rng(n).random(n)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    probs = [0.1, 0.25, 0.35, 0.5, 0.75, 0.9]
+    got = {r.probability: r.value for r in quantiles.exact_quantiles(df, ["x"], probs, 100).collect()}
+    assert [got[p] for p in probs] == pytest.approx(list(np.quantile(x, probs)))
