@@ -7,11 +7,16 @@ to numpy. Only per-point sums come back: point pairs never become rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The helpers below travel with the task: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def matrix(table, column: str):
     """Array column of equal lengths as a 2-d numpy array."""
