@@ -26,6 +26,7 @@ from stockweave.operators import (
 )
 from stockweave.functions.scalars import calendar_parts, days_to_next, rain_bin, temp_bin, time_slot
 from stockweave.params import CLUSTER_FEATURES, ForecastParams, MiningParams, RfmParams, SegmentParams
+from registry.scratch import local_scratch
 from stockweave.session import materialize, scratch_path, tune
 from stockweave.sources import adapter, raw, weather
 
@@ -42,7 +43,7 @@ GENERATED_AT = datetime(2001, 8, 1, 9, 30)
 def query(name: str):
     def keep(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir)
+            return fn(local_scratch(tune(spark)), sf_dir)
 
         REGISTRY[name] = run
         return fn

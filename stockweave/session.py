@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+#: Names the scratch folder where the cluster sets no ``spark.checkpoint.dir``.
+SCRATCH_KEY = "stockweave.scratch.dir"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on for skewed keys."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -42,16 +45,16 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the cluster's shared checkpoint folder.
+def scratch_base(spark: SparkSession) -> str | None:
+    """The cluster's shared checkpoint folder, else the folder the caller named for this session."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
 
-    Only a local session may fall back to a folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the scratch folder; raises where nobody named one."""
+    base = scratch_base(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="stockweave-")
+        raise ValueError(f"spark.checkpoint.dir (or {SCRATCH_KEY}) must name a folder all executors share")
     return f"{base.rstrip('/')}/stockweave/{name}-{uuid.uuid4().hex}"
 
 
