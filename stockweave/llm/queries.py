@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockweave.llm import decontaminate, language, packing, secrets, simhash
+from stockweave.llm import decontaminate, language, licenses, neighbours, packing, secrets, sentences, sharding, simhash
 from stockweave.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +32,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_licenses", licenses.license_sql())
+def _(spark, d):
+    return licenses.scan_licenses(table(spark, d, "documents"))
+
+
+@query("op2_neighbours")
+def _(spark, d):
+    return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op3_decontamination")
 def _(spark, d):
     return decontaminate.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query("op4_sentences")
+def _(spark, d):
+    return sentences.dedup_sentences(table(spark, d, "documents"))
+
+
 @query("op5_language")
 def _(spark, d):
     return language.identify_languages(table(spark, d, "documents"))
@@ -46,6 +62,11 @@ def _(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+@query("op7_sharding")
+def _(spark, d):
+    return sharding.assign_shards(table(spark, d, "documents"))
+
+
 @query("op8_packing")
 def _(spark, d):
     return packing.pack_documents(table(spark, d, "documents"))
