@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import decontaminate, language, licenses, neighbours, packing, secrets, sentences, sharding, simhash
+from stockweave.llm import decontaminate, language, licenses, neighbours, packing, secrets, sentences, sharding, simhash, substrings
 from stockweave.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,8 @@ def _(spark, d):
 @query("op9_secrets")
 def _(spark, d):
     return secrets.scan_secrets(table(spark, d, "documents"))
+
+
+@query("op10_substrings")
+def _(spark, d):
+    return substrings.dedup_substrings(table(spark, d, "documents"))
