@@ -17,6 +17,7 @@ from stockweave.llm.common import by_value, free_name, map_batches
 by_value(__name__)
 
 UNDETERMINED = "und"
+SAMPLE_PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -53,14 +54,15 @@ def learn_dictionaries(docs: DataFrame, params: LanguageParams = LanguageParams(
     The sample takes the rows of smallest text hash, so it does not depend on order or partitions.
     It and the result are bounded by languages x ``sample_rows`` x ``sample_chars``.
     """
-    order = W.partitionBy("lang").orderBy("rank", "text")
-    sample = (
-        docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select("lang", F.substring("text", 1, params.sample_chars).alias("text"), F.xxhash64("text").alias("rank"))
-        .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= params.sample_rows)
-        .collect()
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        "lang", F.substring("text", 1, params.sample_chars).alias("text"), F.xxhash64("text").alias("rank")
     )
+    # First within parts of a language, so that a language with most of the rows is no single task.
+    parts = rows.withColumn("part", F.pmod(F.xxhash64("rank", "text"), F.lit(SAMPLE_PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        order = W.partitionBy(*keys).orderBy("rank", "text")
+        parts = parts.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= params.sample_rows)
+    sample = parts.select("lang", "text", "n").collect()
     out: dict[str, bytes] = {}
     for row in sorted(sample, key=lambda r: (r.lang, r.n)):
         known = out.get(row.lang, b"")
@@ -89,7 +91,7 @@ def predictor(dictionaries: dict[str, bytes], params: LanguageParams):
 
     def predict(text):
         data = normalised(text) if text else b""
-        if not data or not dictionaries:
+        if not data or not dictionaries or not any(c.isalpha() for c in data.decode()):
             return UNDETERMINED, 0.0, True
         ranked = sizes(data, params.level)
         if len(ranked) == 1:
