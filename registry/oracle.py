@@ -219,20 +219,9 @@ CTES: dict[str, str] = {
               FROM (SELECT {SLICE}, product_name AS item, count(DISTINCT order_id) AS cnt, any_value(n_orders) AS n_orders
                     FROM enr JOIN cap USING ({SLICE}, order_id) GROUP BY {SLICE}, product_name))
         WHERE r <= 50""",
-    "overall": f"""
-        SELECT pa.item AS antecedent, pb.item AS consequent,
-               (CAST(ab.c AS DOUBLE) * t.n) / (CAST(pa.c AS DOUBLE) * pb.c) AS global_lift
-        FROM (SELECT a.item AS x, b.item AS y, count(*) AS c FROM allitems a JOIN allitems b
-                ON a.order_id = b.order_id AND a.item <> b.item GROUP BY ALL) ab
-        JOIN (SELECT item, count(*) AS c FROM allitems GROUP BY item) pa ON pa.item = ab.x
-        JOIN (SELECT item, count(*) AS c FROM allitems GROUP BY item) pb ON pb.item = ab.y
-        CROSS JOIN (SELECT count(DISTINCT order_id) AS n FROM enr) t
-        WHERE ab.c / t.n >= {MIN_SUPPORT}""",
-    "allitems": f"""
-        SELECT order_id, department AS item
-        FROM (SELECT DISTINCT e.order_id, e.department FROM enr e
-              JOIN (SELECT order_id FROM (SELECT DISTINCT order_id FROM enr)
-                    QUALIFY row_number() OVER (ORDER BY {mixed('order_id', 42)}, order_id) <= 15000) c USING (order_id))""",
+    "enr_all": "SELECT order_id, department, 'all' AS scope FROM enr",
+    "slice_all": "SELECT scope, count(DISTINCT order_id) AS n_orders FROM enr_all GROUP BY scope",
+    "overall": "SELECT antecedent, consequent, lift AS global_lift FROM all_rules",
     "zraw": "SELECT user_id, " + ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in CLUSTER_FEATURES) + " FROM fstore",
     "zmed": "SELECT " + ", ".join(f"quantile_cont({f}, 0.5) AS {f}" for f in CLUSTER_FEATURES) + " FROM zraw",
     "zfill": "SELECT r.user_id, "
@@ -250,52 +239,46 @@ CTES: dict[str, str] = {
 }
 
 
-def mining_ctes(tag: str, item: str) -> None:
-    """Itemsets up to three items and their rules, over ``item``."""
-    keys = SLICE
+def mining_ctes(
+    tag: str, item: str, keys: str = SLICE, source: str = "enr", sizes: str = "slice_n",
+    least_confidence: float = MIN_CONFIDENCE, least_lift: float = MIN_LIFT,
+) -> None:
+    """Frequent itemsets of every size and their rules, over ``item``: all subsets of all baskets."""
+    names = [k.strip() for k in keys.split(",")]
+
+    def same(a: str, b: str) -> str:
+        return " AND ".join(f"{a}.{k} = {b}.{k}" for k in names)
+
     CTES[f"{tag}_top"] = f"""
-        SELECT {keys}, item, c, n_orders
-        FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY c DESC, item) AS r
-              FROM (SELECT {keys}, {item} AS item, count(DISTINCT order_id) AS c, any_value(n_orders) AS n_orders
-                    FROM enr JOIN slice_n USING ({keys}) GROUP BY {keys}, {item}))
-        WHERE r <= 50 AND c / n_orders >= {MIN_SUPPORT}"""
+        SELECT {keys}, {item} AS item, count(DISTINCT order_id) AS c, any_value(n_orders) AS n_orders
+        FROM {source} JOIN {sizes} USING ({keys}) GROUP BY {keys}, {item}
+        HAVING count(DISTINCT order_id) / any_value(n_orders) >= {MIN_SUPPORT}"""
     CTES[f"{tag}_in"] = f"""
-        SELECT DISTINCT {keys}, order_id, {item} AS item, n_orders FROM enr
+        SELECT DISTINCT {keys}, order_id, {item} AS item, n_orders FROM {source}
         JOIN (SELECT {keys}, item AS {item}, n_orders FROM {tag}_top) USING ({keys}, {item})"""
-    CTES[f"{tag}_two"] = f"""
-        SELECT {', '.join('a.' + k.strip() for k in keys.split(','))}, a.item AS i1, b.item AS i2, count(*) AS c,
-               any_value(a.n_orders) AS n_orders
-        FROM {tag}_in a JOIN {tag}_in b ON a.order_id = b.order_id AND a.item < b.item
-        GROUP BY ALL HAVING count(*) / any_value(a.n_orders) >= {MIN_SUPPORT}"""
-    CTES[f"{tag}_three"] = f"""
-        SELECT {', '.join('a.' + k.strip() for k in keys.split(','))}, a.item AS i1, b.item AS i2, d.item AS i3,
-               count(*) AS c, any_value(a.n_orders) AS n_orders
-        FROM {tag}_in a JOIN {tag}_in b ON a.order_id = b.order_id AND a.item < b.item
-        JOIN {tag}_in d ON d.order_id = a.order_id AND b.item < d.item
-        GROUP BY ALL HAVING count(*) / any_value(a.n_orders) >= {MIN_SUPPORT}"""
+    CTES[f"{tag}_baskets"] = f"""
+        SELECT {keys}, items, n_orders, count(*) AS weight FROM (
+            SELECT {keys}, order_id, list(item ORDER BY item) AS items, any_value(n_orders) AS n_orders
+            FROM {tag}_in GROUP BY {keys}, order_id) GROUP BY ALL"""
+    CTES[f"{tag}_lists"] = f"""
+        SELECT {keys}, s, CAST(sum(weight) AS BIGINT) AS c, any_value(n_orders) AS n_orders FROM (
+            SELECT {keys}, weight, n_orders, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) AS s
+            FROM (SELECT *, unnest(range(1, 1 << len(items))) AS m FROM {tag}_baskets))
+        GROUP BY {keys}, s HAVING sum(weight) / any_value(n_orders) >= {MIN_SUPPORT}"""
     CTES[f"{tag}_sets"] = f"""
-        SELECT {keys}, item AS itemset, 1 AS n_items, c, n_orders FROM {tag}_top
-        UNION ALL SELECT {keys}, i1 || ', ' || i2, 2, c, n_orders FROM {tag}_two
-        UNION ALL SELECT {keys}, i1 || ', ' || i2 || ', ' || i3, 3, c, n_orders FROM {tag}_three"""
-    splits = [
-        ("two", "i1", "i2", 1), ("two", "i2", "i1", 1),
-        ("three", "i1", "i2 || ', ' || i3", 1), ("three", "i2", "i1 || ', ' || i3", 1),
-        ("three", "i3", "i1 || ', ' || i2", 1), ("three", "i2 || ', ' || i3", "i1", 2),
-        ("three", "i1 || ', ' || i3", "i2", 2), ("three", "i1 || ', ' || i2", "i3", 2),
-    ]
-    union = " UNION ALL ".join(
-        f"SELECT {keys}, {a} AS antecedent, {c} AS consequent, {n} AS n_left, c, n_orders FROM {tag}_{t}"
-        for t, a, c, n in splits
-    )
+        SELECT {keys}, array_to_string(s, ', ') AS itemset, CAST(len(s) AS INTEGER) AS n_items, c, n_orders FROM {tag}_lists"""
     CTES[f"{tag}_rules"] = f"""
         SELECT s.antecedent, s.consequent, s.c / s.n_orders AS support, s.c / l.c AS confidence,
                (CAST(s.c AS DOUBLE) * s.n_orders) / (CAST(l.c AS DOUBLE) * r.c) AS lift,
-               s.segment, s.time_slot, s.weather_bin, s.n_left
-        FROM ({union}) s
-        JOIN {tag}_sets l ON {on('s', 'l')} AND l.itemset = s.antecedent
-        JOIN {tag}_sets r ON {on('s', 'r')} AND r.itemset = s.consequent
-        WHERE s.c / l.c >= {MIN_CONFIDENCE}
-          AND (CAST(s.c AS DOUBLE) * s.n_orders) / (CAST(l.c AS DOUBLE) * r.c) >= {MIN_LIFT}"""
+               {', '.join('s.' + k for k in names)}, s.n_left
+        FROM (SELECT {keys}, c, n_orders, bit_count(m) AS n_left,
+                     array_to_string(list_filter(s, lambda x, i: (m >> (i - 1)) & 1 = 1), ', ') AS antecedent,
+                     array_to_string(list_filter(s, lambda x, i: (m >> (i - 1)) & 1 = 0), ', ') AS consequent
+              FROM (SELECT *, unnest(range(1, (1 << len(s)) - 1)) AS m FROM {tag}_lists WHERE len(s) > 1)) s
+        JOIN {tag}_sets l ON {same('s', 'l')} AND l.itemset = s.antecedent
+        JOIN {tag}_sets r ON {same('s', 'r')} AND r.itemset = s.consequent
+        WHERE s.c / l.c >= {least_confidence}
+          AND (CAST(s.c AS DOUBLE) * s.n_orders) / (CAST(l.c AS DOUBLE) * r.c) >= {least_lift}"""
     CTES[f"{tag}_best"] = f"""
         SELECT antecedent, consequent, lift FROM {tag}_rules WHERE n_left = 1
         QUALIFY row_number() OVER (PARTITION BY antecedent ORDER BY lift DESC, consequent) = 1"""
@@ -303,6 +286,7 @@ def mining_ctes(tag: str, item: str) -> None:
 
 mining_ctes("brand", "department")
 mining_ctes("name", "product_name")
+mining_ctes("all", "department", "scope", "enr_all", "slice_all", 0.0, 0.0)
 
 CTES["acts"] = f"""
     SELECT a.store_id, a.product_name, forecast_units, units_sold, current_stock,
@@ -316,7 +300,8 @@ CTES["acts"] = f"""
 
 # Inputs that several later steps read: computed once.
 SHARED = {"ords", "master", "heads", "daily", "spine", "rolled", "lagged", "enr", "fstore", "z", "zl",
-          "brand_in", "brand_sets", "brand_rules", "name_in", "name_sets", "name_rules", "allitems", "acts"}
+          "brand_in", "brand_lists", "brand_sets", "brand_rules", "name_in", "name_lists", "name_sets", "name_rules",
+          "all_lists", "all_sets", "all_rules", "acts"}
 
 
 def with_ctes(body: str) -> str:

@@ -34,8 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 RFM = RfmParams(affinity_pattern="red")
-MINING = MiningParams(min_orders=100, max_len=3)
-CAPPED = replace(MINING, max_orders=150)
+MINING = MiningParams(min_orders=100)
+CAPPED = replace(MINING, max_orders=150, top_items=50)
 FORECAST = ForecastParams()
 GENERATED_AT = datetime(2001, 8, 1, 9, 30)
 
@@ -508,7 +508,7 @@ def _(spark, d):
     rows = enriched(spark, d)
     present = baskets.presence(rows.select(*MINING.slice_cols, "order_id", F.col("product_name").alias("item")))
     used = present.join(baskets.slice_order_cap(rows, CAPPED), [*MINING.slice_cols, "order_id"])
-    return baskets.slice_top_items(used, CAPPED)
+    return baskets.slice_top_items(baskets.slice_item_counts(used, CAPPED), CAPPED)
 
 
 @query("context_itemsets")
@@ -545,15 +545,14 @@ def _(spark, d):
 def _(spark, d):
     rows = enriched(spark, d)
     start = baskets.slice_baskets(rows, MINING)
-    sizes = baskets.slice_order_counts(rows, MINING)
-    return rounded(rules.rule_coverage(start, rules.rules_from(start, MINING), sizes, MINING))
+    return rounded(rules.rule_coverage(start, rules.rules_from(start, MINING), MINING))
 
 
 @query("lift_gain")
 def _(spark, d):
     rows = materialize(enriched(spark, d, "department"), "enriched")
-    everywhere = rules.global_rules(rows, replace(MINING, min_lift=0.0, min_confidence=0.0, max_len=2))
-    local = rules.context_rules(rows, replace(MINING, max_len=2))
+    everywhere = rules.global_rules(rows, replace(MINING, min_lift=0.0, min_confidence=0.0))
+    local = rules.context_rules(rows, MINING)
     return rounded(rules.lift_gain(local, everywhere, MINING))
 
 

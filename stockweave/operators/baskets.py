@@ -1,9 +1,9 @@
 """Context slices, baskets and frequent itemsets: all slices in one job, the slice is a key.
 
-Shape of the work: distinct (slice, order, item) rows spread evenly over the cluster; the few
-top items of a slice get small integer ranks; every order shrinks to its set of ranks (at most
-``top_items`` of them) and equal sets are counted once. Itemsets are counted on these distinct
-weighted baskets, so a group of copies, however large, costs one row.
+Shape of the work: distinct (slice, order, item) rows spread evenly over the cluster; the frequent
+items of a slice, whose number the support bounds (mean basket size / least support), get small
+integer ranks; every order shrinks to its set of ranks and equal sets are counted once. Itemsets are
+counted on these distinct weighted baskets, so a group of copies, however large, costs one row.
 """
 
 from __future__ import annotations
@@ -67,32 +67,43 @@ def slice_order_counts(enriched: DataFrame, p: MiningParams) -> DataFrame:
 
 
 def slice_order_cap(enriched: DataFrame, p: MiningParams) -> DataFrame:
-    """Orders that take part in mining, with ``n_orders`` of their slice after the cap."""
+    """Orders that take part in mining, ``max_orders`` of a slice, with ``n_orders`` after the cap."""
     capped = capped_by_hash(slice_orders(enriched, p), p.slice_cols, "order_id", p.max_orders)
     return capped.filter(F.col("group_size") >= p.min_orders).select(
         *p.slice_cols, "order_id", F.least("group_size", F.lit(p.max_orders)).alias("n_orders")
     )
 
 
-def slice_top_items(present: DataFrame, p: MiningParams) -> DataFrame:
-    """Top items per slice by order count, ties by name, with their rank from 0.
+def slice_item_counts(present: DataFrame, p: MiningParams) -> DataFrame:
+    """(slice, item, cnt, n_orders). ``present``: distinct (slice, n_orders, order_id, item)."""
+    return present.groupBy(*p.slice_cols, "item").agg(
+        F.count(F.lit(1)).alias("cnt"), F.first("n_orders").alias("n_orders")
+    )
+
+
+def slice_top_items(counts: DataFrame, p: MiningParams) -> DataFrame:
+    """The ``top_items`` items per slice by order count, ties by name, with their rank from 0.
 
-    ``present``: distinct (slice, n_orders, order_id, item). Spark prunes to the top rows per
-    slice before the shuffle of the window (group limit).
+    Spark prunes to the top rows per slice before the shuffle of the window (group limit).
     """
     order = Window.partitionBy(*p.slice_cols).orderBy(F.desc("cnt"), "item")
-    return (
-        present.groupBy(*p.slice_cols, "item")
-        .agg(F.count(F.lit(1)).alias("cnt"), F.first("n_orders").alias("n_orders"))
-        .withColumn("rank", F.row_number().over(order) - 1)
-        .filter(F.col("rank") < p.top_items)
-    )
+    top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= p.top_items)
+    return top.withColumn("rank", F.col("rank") - 1)
+
+
+def frequent_items(counts: DataFrame, p: MiningParams) -> DataFrame:
+    """Items of a slice within its support, ranked from 0; all of them unless ``top_items`` cuts."""
+    enough = counts.filter(F.col("cnt") / F.col("n_orders") >= p.min_support)
+    if p.top_items is not None:
+        return slice_top_items(enough, p)
+    order = Window.partitionBy(*p.slice_cols).orderBy(F.desc("cnt"), "item")
+    return enough.withColumn("rank", F.row_number().over(order) - 1)
 
 
 def rank_baskets(ranked: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys..., items, weight): distinct sorted baskets and the number of orders that share them.
 
-    ``ranked``: distinct (keys, order_id, rank), at most top-N ranks per order.
+    ``ranked``: distinct (keys, order_id, rank).
     """
     per_order = ranked.groupBy(*keys, "order_id").agg(F.sort_array(F.collect_set("rank")).alias("items"))
     return per_order.groupBy(*keys, "items").agg(F.count(F.lit(1)).alias("weight"))
@@ -118,31 +129,29 @@ def pair_counts(baskets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 @dataclass(frozen=True)
 class SliceBaskets:
-    """Materialized start of the mining: ``items`` (slice, item, rank, cnt, n_orders) of the
-    frequent single items and ``baskets`` (slice, items, weight) made of them."""
+    """Materialized start of the mining: ``sizes`` (slice, n_orders mined), ``items`` (slice, item,
+    rank, cnt, n_orders) of the frequent single items and ``baskets`` (slice, items, weight) of them."""
 
+    sizes: DataFrame
     items: DataFrame
     baskets: DataFrame
 
 
 def slice_baskets(enriched: DataFrame, p: MiningParams, item: str = "product_name") -> SliceBaskets:
-    """The joins behind ``enriched`` run once: its distinct rows are written, all else reads them.
-
-    The order cap costs a histogram and a join, so it is only applied when some slice is over it.
-    """
+    """The joins behind ``enriched`` run once: its distinct rows are written, all else reads them."""
     keys = list(p.slice_cols)
     present = materialize(presence(enriched.select(*keys, "order_id", F.col(item).alias("item"))), "presence")
-    sizes = materialize(slice_order_counts(present, p), "slice_sizes")  # one row per slice
-    if sizes.filter(F.col("n_orders") > p.max_orders).isEmpty():
+    if p.max_orders is None:
+        sizes = materialize(slice_order_counts(present, p), "slice_sizes")  # one row per slice
         used = present.join(sizes, keys)
     else:
-        used = present.join(slice_order_cap(present, p), [*keys, "order_id"])
-    tops = materialize(
-        slice_top_items(used, p).filter(F.col("cnt") / F.col("n_orders") >= p.min_support), "slice_items"
-    )
+        capped = slice_order_cap(present, p)
+        sizes = materialize(capped.select(*keys, "n_orders").distinct(), "slice_sizes")
+        used = present.join(capped, [*keys, "order_id"])
+    tops = materialize(frequent_items(slice_item_counts(used, p), p), "slice_items")
     # The written size of ``tops`` is known to Spark, which broadcasts it below its threshold.
     ranked = used.drop("n_orders").join(tops.select(*keys, "item", "rank"), [*keys, "item"])
-    return SliceBaskets(tops, materialize(rank_baskets(ranked, keys), "slice_baskets"))
+    return SliceBaskets(sizes, tops, materialize(rank_baskets(ranked, keys), "slice_baskets"))
 
 
 def frequent_itemsets(start: SliceBaskets, p: MiningParams) -> DataFrame:
@@ -200,7 +209,7 @@ def frequent_itemsets(start: SliceBaskets, p: MiningParams) -> DataFrame:
 
 
 def item_names(start: SliceBaskets, p: MiningParams) -> DataFrame:
-    """(slice, names): rank -> item name, at most ``top_items`` entries per slice."""
+    """(slice, names): rank -> item name; the support bounds the frequent items of a slice."""
     return start.items.groupBy(*p.slice_cols).agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "item"))).alias("names")
     )

@@ -112,8 +112,8 @@ def best_rule_per_item(rules: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def rule_coverage(start: SliceBaskets, rules: DataFrame, slice_sizes: DataFrame, p: MiningParams) -> DataFrame:
-    """Per slice: orders that contain the antecedent of some rule, and their share.
+def rule_coverage(start: SliceBaskets, rules: DataFrame, p: MiningParams) -> DataFrame:
+    """Per slice: mined orders that contain the antecedent of some rule, and their share.
 
     Works on distinct baskets; an antecedent is looked up by its first item and then checked.
     """
@@ -131,7 +131,7 @@ def rule_coverage(start: SliceBaskets, rules: DataFrame, slice_sizes: DataFrame,
         .groupBy(*keys)
         .agg(F.sum("weight").alias("covered"))
     )
-    return slice_sizes.join(covered, keys, "left").select(
+    return start.sizes.join(covered, keys, "left").select(
         *keys,
         "n_orders",
         F.coalesce("covered", F.lit(0)).alias("covered_orders"),

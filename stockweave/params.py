@@ -104,12 +104,15 @@ class RfmParams:
 
 @dataclass(frozen=True)
 class MiningParams:
-    """Context rules. ``max_len=None`` mines itemsets of every size."""
+    """Context rules over all orders, frequent items and itemset sizes of a slice.
+
+    ``max_orders``, ``top_items`` and ``max_len`` cut them where a caller asks for that.
+    """
 
     slice_cols: tuple[str, ...] = ("segment", "time_slot", "weather_bin")
     min_orders: int = 500
-    max_orders: int = 15_000
-    top_items: int = 50
+    max_orders: int | None = None
+    top_items: int | None = None
     min_support: float = 0.02
     min_lift: float = 1.2
     min_confidence: float = 0.2

@@ -330,13 +330,43 @@ def test_order_cap_applies(spark):
     assert {r.cnt for r in sets} == {50} and {r.support for r in sets} == {1.0}
 
 
+def test_coverage_counts_the_mined_orders(spark):
+    orders = [("s", {"a", "b"})] * 200 + [("s", {"c", "d"})] * 200
+    enriched, _ = _enriched(spark, orders)
+    shares = []
+    for cap in (None, 100):
+        p = MiningParams(min_orders=10, max_orders=cap, min_support=0.1)
+        start = baskets.slice_baskets(enriched, p)
+        row = rules.rule_coverage(start, rules.rules_from(start, p), p).first()
+        assert row.n_orders == (cap or 400)
+        shares.append(row.coverage)
+    assert shares == [1.0, 1.0]
+
+
+def test_nothing_is_cut_unless_asked(spark):
+    """More frequent items than fifty, and an itemset of six."""
+    orders = [("s", {f"i{k}", f"j{k}", f"k{k}", f"l{k}", f"m{k}", f"n{k}"}) for k in range(20) for _ in range(2)]
+    enriched, _ = _enriched(spark, orders)
+    sets = baskets.context_itemsets(enriched, MiningParams(min_orders=10, min_support=0.02)).collect()
+    assert sum(r.n_items == 1 for r in sets) == 120 and sum(r.n_items == 6 for r in sets) == 20
+
+
+def test_top_items_are_pruned_before_the_shuffle(spark):
+    enriched, _ = _enriched(spark, [("s", {"a", "b"})] * 20)
+    p = MiningParams(top_items=1, max_orders=100, min_orders=1)
+    present = enriched.select(*p.slice_cols, "order_id", F.col("product_name").alias("item"), F.lit(20).alias("n_orders"))
+    top = baskets.slice_top_items(baskets.slice_item_counts(present, p), p)
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    assert [(r["item"], r["rank"]) for r in top.collect()] == [("a", 0)]
+
+
 def test_coverage_and_best_rule(spark):
     orders = [("s", {"a", "b"})] * 6 + [("s", {"c"})] * 4 + [("s", {"d", "e", "f"})] * 2
     p = MiningParams(min_orders=1, min_support=0.1)
     enriched, _ = _enriched(spark, orders)
     start = baskets.slice_baskets(enriched, p)
     found = rules.rules_from(start, p)
-    cov = rules.rule_coverage(start, found, baskets.slice_order_counts(enriched, p), p).first()
+    cov = rules.rule_coverage(start, found, p).first()
     assert (cov.n_orders, cov.covered_orders) == (12, 8)
     best = {r.antecedent: r.consequent for r in rules.best_rule_per_item(found).collect()}
     assert best == {"a": "b", "b": "a", "d": "e", "e": "d", "f": "d"}
