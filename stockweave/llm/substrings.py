@@ -161,18 +161,20 @@ def run_rows(texts: DataFrame, params: SubstringParams) -> DataFrame:
 def judged(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes that occur again as a whole: (row, low, high); and what stays open: one node for each
     different whole of a key that has several, with their number, ``settled`` where it is a copy."""
+    place = ("row", "at", "low", "high")
+    # Any one of the copies stands for them; the firsts of one row stay together.
     wholes = nodes.groupBy("key", "full").agg(
-        F.count("*").alias("n"), F.max("settled").alias("settled"), F.min(F.struct("row", "at", "low", "high")).alias("one")
+        F.count("*").alias("n"), F.max("settled").alias("settled"), *[F.first(c).alias(c) for c in place]
     )
     wholes = materialize(
-        wholes.select("key", "full", (F.col("settled") | (F.col("n") > 1)).alias("settled"), "n", "one"), "wholes"
+        wholes.select("key", "full", (F.col("settled") | (F.col("n") > 1)).alias("settled"), "n", *place), "wholes"
     )
     copies = wholes.filter("n > 1").select("key", "full")
     marks = nodes.filter("not settled").join(copies, ["key", "full"]).select("row", "low", "high")
     keys = wholes.groupBy("key").agg(
         F.count("*").alias("members"), F.count_if(~F.col("settled")).alias("single")
     ).filter("members > 1 and single > 0")
-    open_nodes = wholes.join(keys.select("key", "members"), "key").select("key", "members", "one.*", "settled")
+    open_nodes = wholes.join(keys.select("key", "members"), "key").select("key", "members", *place, "settled")
     return marks, open_nodes
 
 
