@@ -32,8 +32,8 @@ class SearchParams:
 
     k: int = 20
     projections: int = 64
-    width: float = 1.5
-    growth: float = 1.15
+    width: float = 1.75
+    growth: float = 1.12
     threshold: float = 0.85
     verified: float = 0.1
     block_rows: int = 4096
@@ -68,37 +68,53 @@ class Block:
         lift = np.sqrt(np.maximum(0.0, reach * reach - (vectors * vectors).sum(1)))
         self.axes = directions(dim + 1, params)
         projected = np.concatenate([vectors, lift[:, None]], axis=1) @ self.axes
-        self.order = np.ascontiguousarray(np.argsort(projected, axis=0, kind="stable").T)
-        self.values = np.ascontiguousarray(np.sort(projected, axis=0).T)
+        order = np.argsort(projected, axis=0, kind="stable")
+        self.values = np.ascontiguousarray(np.take_along_axis(projected, order, 0).T)
+        # The place of every vector in every sorted array; a block has at most 65,535 rows.
+        self.places = np.empty((order.shape[1], n), np.uint16)
+        np.put_along_axis(self.places, order.T, np.arange(n, dtype=np.uint16)[None, :], 1)
         self.reach, self.sigma = reach, reach / np.sqrt(dim + 1)
 
     def search(self, queries, own):
         """For every query (its own row number left out): members of its ``k`` best and their scores."""
         import numpy as np
 
-        p, n, m = self.params, len(self.rows), len(self.order)
+        p, n, m = self.params, len(self.rows), len(self.places)
         # A query's length does not change the order of its inner products.
         scaled = queries * (self.reach / np.sqrt((queries * queries).sum(1)))[:, None]
         centres = scaled @ self.axes[:-1]
         need = int(np.ceil(p.threshold * m))
         enough = min(n, p.k + 1 + int(p.verified * n))
-        for query, centre, row in zip(queries, centres, own):
-            half = p.width * self.sigma
-            low = [int(v.searchsorted(c - half)) for v, c in zip(self.values, centre)]
-            high = [int(v.searchsorted(c + half, "right")) for v, c in zip(self.values, centre)]
-            # In the first round it is cheaper to count what lies outside the windows.
-            outside = [o[:a] for o, a in zip(self.order, low)] + [o[b:] for o, b in zip(self.order, high)]
-            counts = m - np.bincount(np.concatenate(outside), minlength=n)
-            while (counts >= need).sum() < enough:
-                half *= p.growth
-                fresh = []
-                for j, (v, c, o) in enumerate(zip(self.values, centre, self.order)):
-                    a, b = int(v.searchsorted(c - half)), int(v.searchsorted(c + half, "right"))
-                    fresh += [o[a : low[j]], o[high[j] : b]]
-                    low[j], high[j] = a, b
-                counts += np.bincount(np.concatenate(fresh), minlength=n)
-            chosen = np.flatnonzero((counts >= need) & (self.rows != row))
-            scores = (self.vectors[chosen] * query).sum(1)
+        buffer = np.empty(self.vectors.shape)
+        count = np.uint8 if m < 256 else np.uint16
+        reached: list = []
+
+        def windows(k):
+            """First place and length of round k's windows in every array, for all queries."""
+            if k == len(reached):
+                half = p.width * p.growth**k * self.sigma
+                first = np.stack([v.searchsorted(c - half) for v, c in zip(self.values, centres.T)], 1)
+                last = np.stack([v.searchsorted(c + half, "right") for v, c in zip(self.values, centres.T)], 1)
+                reached.append((first.astype(np.uint16)[:, :, None], (last - first).astype(np.uint16)[:, :, None]))
+            return reached[k]
+
+        for q, (query, row) in enumerate(zip(queries, own)):
+            k, collided = 0, None
+            while collided is None or np.count_nonzero(collided) < enough:
+                first, length = (x[q] for x in windows(k))
+                # Unsigned: places before the window wrap around to large numbers.
+                inside = (self.places - first) < length
+                collided = np.add.reduce(inside.view(np.uint8), axis=0, dtype=count) >= need
+                k += 1
+            chosen = np.flatnonzero(collided & (self.rows != row))
+            # Into one buffer: fresh arrays of this size cost more than the arithmetic.
+            picked = buffer[: len(chosen)]
+            np.take(self.vectors, chosen, axis=0, out=picked, mode="clip")
+            picked *= query
+            scores = picked.sum(1)
+            if len(chosen) > p.k:
+                top = scores >= np.partition(scores, len(scores) - p.k)[len(scores) - p.k]
+                chosen, scores = chosen[top], scores[top]
             best = np.lexsort((self.ids[chosen], -scores))[: p.k]
             yield chosen[best], scores[best]
 
