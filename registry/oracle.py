@@ -7,13 +7,7 @@ from __future__ import annotations
 
 import re
 
-from stockweave.params import (
-    AGE_SHARES,
-    CLUSTER_FEATURES,
-    INCOME_SHARES,
-    PIN_CODES,
-    URGENCY,
-)
+from stockweave.params import CLUSTER_FEATURES, URGENCY
 from stockweave.sources.adapter import CALENDAR
 
 ORACLE: dict[str, str] = {}
@@ -29,14 +23,6 @@ def mixed(key: str, salt: int) -> str:
     return h
 
 
-def shares(key: str, salt: int, table) -> str:
-    upper, cases = 0, ""
-    for label, share in table[:-1]:
-        upper += share
-        cases += f" WHEN {mixed(key, salt)} % 100 < {upper} THEN '{label}'"
-    return f"CASE{cases} ELSE '{table[-1][0]}' END"
-
-
 def values(rows) -> str:
     return "(VALUES " + ", ".join(f"({r})" for r in rows) + ")"
 
@@ -44,7 +30,6 @@ def values(rows) -> str:
 FESTIVALS = values(f"DATE '{d}'" for d in CALENDAR.festivals)
 WINDOWS = values(f"DATE '{a}', DATE '{b}'" for a, b in CALENDAR.windows)
 URGENCY_ROWS = values(f"{k}, '{v[0]}', '{v[1]}'" for k, v in URGENCY.items())
-PINS = values(f"{i}, '{pin}', '{city}', '{store}'" for i, (pin, (city, store)) in enumerate(PIN_CODES.items()))
 
 NEXT_FESTIVAL = f"least(coalesce((SELECT min(f.d) FROM {FESTIVALS} f(d) WHERE f.d >= {{day}}) - {{day}}, 30), 30)"
 SLOT = (
@@ -121,19 +106,14 @@ CTES: dict[str, str] = {
         SELECT order_id, user_id, order_date, temp_bin, rain_bin, temp_max, precipitation, is_festival,
                days_to_festival, is_ipl_match_day, is_exam_season, is_monsoon, is_weekend
         FROM heads LEFT JOIN wx ON order_date = wx.date LEFT JOIN cal ON order_date = cal.date""",
-    "demo": f"""
-        SELECT c_custkey AS user_id, CAST(c_nationkey AS VARCHAR) AS pin_code, n_name AS city, r_name AS store_id,
-               {shares('c_custkey', 2, INCOME_SHARES)} AS income_bucket,
-               {shares('c_custkey', 3, AGE_SHARES)} AS age_group
+    "demo": """
+        SELECT c_custkey AS user_id, CAST(c_nationkey AS VARCHAR) AS pin_code, n_name AS city, r_name AS store_id
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "seg": """
         SELECT c_custkey AS user_id, c_mktsegment AS cluster_name,
                CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS cluster_id FROM customer""",
-    "stores": f"""
-        SELECT user_id, pin_code, city, store_id, {shares('user_id', 2, INCOME_SHARES)} AS income_bucket,
-               {shares('user_id', 3, AGE_SHARES)} AS age_group
-        FROM (SELECT DISTINCT user_id FROM ords)
-        JOIN {PINS} p(i, pin_code, city, store_id) ON {mixed('user_id', 1)} % {len(PIN_CODES)} = p.i""",
+    "stores": """
+        SELECT user_id, pin_code, city, store_id FROM (SELECT DISTINCT user_id FROM ords) LEFT JOIN demo USING (user_id)""",
     "rfm": """
         SELECT u.user_id, max(days_active) OVER () - days_active AS recency, frequency,
                avg_basket_size * reorder_ratio AS monetary_proxy, avg_basket_size, reorder_ratio,
@@ -161,12 +141,12 @@ CTES: dict[str, str] = {
         SELECT product_name FROM daily GROUP BY product_name ORDER BY sum(units_sold) DESC, product_name LIMIT 50""",
     "kept": "SELECT * FROM daily WHERE product_name IN (SELECT product_name FROM tops)",
     "spine": """
-        SELECT CAST(d.order_date AS DATE) AS order_date, s.store_id, p.product_name,
+        SELECT CAST(d.order_date AS DATE) AS order_date, s.store_id, s.product_name,
                CAST(coalesce(k.units_sold, 0) AS BIGINT) AS units_sold
         FROM (SELECT CAST(unnest(generate_series(CAST(min(order_date) AS TIMESTAMP), CAST(max(order_date) AS TIMESTAMP),
-                INTERVAL 1 DAY)) AS DATE) AS order_date FROM kept) d
-        CROSS JOIN (SELECT DISTINCT store_id FROM kept) s CROSS JOIN (SELECT DISTINCT product_name FROM kept) p
-        LEFT JOIN kept k ON k.order_date = d.order_date AND k.store_id = s.store_id AND k.product_name = p.product_name""",
+                INTERVAL 1 DAY)) AS DATE) AS order_date FROM daily) d
+        CROSS JOIN (SELECT DISTINCT store_id, product_name FROM daily) s
+        LEFT JOIN daily k ON k.order_date = d.order_date AND k.store_id = s.store_id AND k.product_name = s.product_name""",
     "rolled": """
         SELECT *, lag(units_sold, 1) OVER w AS lag_1d, lag(units_sold, 7) OVER w AS lag_7d,
                lag(units_sold, 14) OVER w AS lag_14d, lag(units_sold, 30) OVER w AS lag_30d,
@@ -288,20 +268,31 @@ mining_ctes("brand", "department")
 mining_ctes("name", "product_name")
 mining_ctes("all", "department", "scope", "enr_all", "slice_all", 0.0, 0.0)
 
-CTES["acts"] = f"""
+ACTIONS = f"""
     SELECT a.store_id, a.product_name, forecast_units, units_sold, current_stock,
            CAST(greatest(forecast_units - current_stock, 0) AS INTEGER) AS reorder_qty,
            u.level AS urgency, u.label AS urgency_label, u.color AS urgency_color, dominant_segment,
            b.consequent AS bundle_with, round(b.lift, 6) AS bundle_lift, event_context, days_to_festival,
            TIMESTAMP '2001-08-01 09:00:00' AS generated_at
-    FROM (SELECT *, {LEVEL} AS level FROM latest JOIN stock USING (store_id, product_name) CROSS JOIN lastday) a
+    FROM (SELECT *, {LEVEL} AS level FROM {{rows}}) a
     JOIN {URGENCY_ROWS} u(level, label, color) ON a.level = u.level
     LEFT JOIN dominant d ON a.store_id = d.store_id LEFT JOIN name_best b ON a.product_name = b.antecedent"""
+CTES["acts"] = ACTIONS.format(rows="latest JOIN stock USING (store_id, product_name) CROSS JOIN lastday")
+CTES["context_days"] = """
+    SELECT date AS order_date, days_to_festival,
+           CASE WHEN is_festival = 1 THEN 'festival_soon' WHEN is_ipl_match_day = 1 THEN 'ipl_season'
+                WHEN is_monsoon = 1 THEN 'monsoon' ELSE 'normal' END AS event_context FROM cal"""
+CTES["fc_until"] = "SELECT * FROM fc WHERE order_date <= DATE '2001-07-29'"
+CTES["acts_as_of"] = ACTIONS.format(rows="""
+    (SELECT * FROM fc_until QUALIFY row_number() OVER (PARTITION BY store_id, product_name ORDER BY order_date DESC) = 1)
+    JOIN (SELECT store_id, product_name, CAST(round_even(avg(units_sold) * CAST(0.8 AS DOUBLE), 0) AS INTEGER) AS current_stock
+          FROM fc_until WHERE units_sold > 0 GROUP BY ALL) USING (store_id, product_name)
+    LEFT JOIN context_days USING (order_date)""")
 
 # Inputs that several later steps read: computed once.
 SHARED = {"ords", "master", "heads", "daily", "spine", "rolled", "lagged", "enr", "fstore", "z", "zl",
           "brand_in", "brand_lists", "brand_sets", "brand_rules", "name_in", "name_lists", "name_sets", "name_rules",
-          "all_lists", "all_sets", "all_rules", "acts"}
+          "all_lists", "all_sets", "all_rules", "acts", "acts_as_of", "fc_until"}
 
 
 def with_ctes(body: str) -> str:
@@ -335,7 +326,9 @@ twin("scan_csv_roundtrip", f"SELECT {MASTER} FROM master")
 twin("scan_csv_pruned", "SELECT user_id, count(*) AS orders FROM ords GROUP BY user_id")
 twin("scan_parquet", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem")
 twin("sink_parquet_roundtrip", "SELECT * FROM daily")
-twin("weather_json_explode", "SELECT * FROM wx_raw")
+twin("weather_json_explode", """
+    SELECT CAST(ts AS DATE) AS date, value AS temp_max, CASE WHEN event_id % 3 <> 0 THEN value END AS precipitation,
+           CAST(user_id % 100 AS INTEGER) AS weathercode FROM events""")
 twin("calendar_spine", """
     SELECT date, count(order_id) AS orders FROM days LEFT JOIN ords ON order_date = date GROUP BY date""")
 
@@ -346,10 +339,15 @@ twin("master_transactions", f"SELECT {MASTER} FROM master")
 twin("orders_distinct", """
     SELECT order_id, user_id, order_number, order_dow, order_hour_of_day, days_since_prior_order FROM heads""")
 twin("store_assignment", "SELECT * FROM stores")
-twin("event_calendar", "SELECT * FROM cal")
+CTES["cal_orders"] = """
+    SELECT cal.*, coalesce(n, 0) AS orders
+    FROM cal LEFT JOIN (SELECT order_date, count(*) AS n FROM ords GROUP BY order_date) o ON cal.date = o.order_date"""
+twin("event_calendar", "SELECT * FROM cal_orders")
 twin("event_calendar_summary", """
     SELECT count(*) AS calendar_days, CAST(sum(is_festival) AS BIGINT) AS festival_days,
-           CAST(sum(is_ipl_match_day) AS BIGINT) AS season_days FROM cal""")
+           CAST(sum(is_ipl_match_day) AS BIGINT) AS season_days,
+           CAST(sum(orders * is_festival) AS BIGINT) AS festival_orders,
+           CAST(sum(orders * is_ipl_match_day) AS BIGINT) AS season_orders FROM cal_orders""")
 twin("days_to_festival", f"""
     SELECT order_id, order_date, CAST({NEXT_FESTIVAL.format(day='order_date')} AS INTEGER) AS days_to_festival FROM ords""")
 twin("calendar_parts", """
@@ -364,9 +362,9 @@ twin("latest_event_context", "SELECT * FROM lastday")
 # ---- features
 twin("order_dates", f"""
     SELECT order_id, user_id, order_number,
-           least(DATE '2013-01-01' + CAST({mixed('user_id', 31)} % 365 + sum(coalesce(days_since_prior_order, 0))
-             OVER (PARTITION BY user_id ORDER BY order_number) AS INTEGER), DATE '2015-12-31') AS order_date
-    FROM heads""")
+           least(first_day + CAST(sum(coalesce(days_since_prior_order, 0))
+             OVER (PARTITION BY user_id ORDER BY order_number) AS INTEGER), DATE '2001-06-30') AS order_date
+    FROM heads JOIN (SELECT user_id, min(order_date) AS first_day FROM ords GROUP BY user_id) USING (user_id)""")
 twin("order_context", "SELECT * FROM ctx")
 RFM_COLS = ", ".join(
     c if c == "frequency" else f"round({c}, 6) AS {c}"
@@ -380,7 +378,7 @@ CTX_COLS = ", ".join(
 twin("user_rfm", f"SELECT user_id, {RFM_COLS} FROM rfm")
 twin("user_context", f"SELECT user_id, {CTX_COLS} FROM uctx")
 twin("feature_store", f"""
-    SELECT user_id, {RFM_COLS}, pin_code, city, store_id, income_bucket, age_group, {CTX_COLS} FROM fstore""")
+    SELECT user_id, {RFM_COLS}, pin_code, city, store_id, {CTX_COLS} FROM fstore""")
 twin("user_rfm_90d", """
     SELECT user_id, CAST(max(t) - max(order_date) AS INTEGER) AS days_since_last_order,
            count(*) FILTER (WHERE t - order_date < 90) AS orders_90d
@@ -390,7 +388,9 @@ twin("user_rfm_90d", """
 twin("distinct_counts", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM master" for c in ("user_id", "order_id", "product_id")
 ))
-twin("value_counts", "SELECT store_id, count(*) AS n FROM stores GROUP BY store_id")
+twin("value_counts", "SELECT store_id, count(*) AS n FROM demo GROUP BY store_id")
+twin("value_counts_rain", "SELECT rain_bin, count(*) AS n FROM ctx GROUP BY rain_bin")
+twin("value_counts_product", "SELECT product_name, count(*) AS n FROM master GROUP BY product_name")
 twin("null_profile", "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{c.strip()}' AS \"column\", count(*) FILTER (WHERE {c.strip()} IS NULL) AS nulls FROM master"
     for c in MASTER.split(",")
@@ -555,18 +555,29 @@ twin("feature_medians", " UNION ALL ".join(
 ))
 twin("scaled_features", "SELECT user_id, " + ", ".join(f"round({f}, 6) AS {f}" for f in CLUSTER_FEATURES) + " FROM z")
 twin("cluster_profile", "SELECT cluster_id, " + ", ".join(f"round({f}, 6) AS {f}" for f in CLUSTER_FEATURES) + " FROM prof")
-twin("persona_names", """
-    SELECT cluster_id, CASE
-        WHEN night_owl_score > (SELECT quantile_cont(night_owl_score, 0.75) FROM prof) THEN 'late_night_bachelor'
-        WHEN organic_affinity > (SELECT quantile_cont(organic_affinity, 0.75) FROM prof) THEN 'morning_health_buyer'
-        WHEN weekend_concentration > (SELECT quantile_cont(weekend_concentration, 0.75) FROM prof)
+PERSONAS = """
+    SELECT cluster_id, CASE {first}
+        WHEN night_owl_score > (SELECT quantile_cont(night_owl_score, 0.75) FROM {prof}) THEN 'late_night_bachelor'
+        WHEN organic_affinity > (SELECT quantile_cont(organic_affinity, 0.75) FROM {prof}) THEN 'morning_health_buyer'
+        WHEN weekend_concentration > (SELECT quantile_cont(weekend_concentration, 0.75) FROM {prof})
           THEN 'weekend_family_shopper'
-        WHEN pct_festival_orders > (SELECT quantile_cont(pct_festival_orders, 0.75) FROM prof) THEN 'festival_bulk_buyer'
-        WHEN frequency < (SELECT quantile_cont(frequency, 0.35) FROM prof)
-         AND avg_basket_size < (SELECT quantile_cont(avg_basket_size, 0.5) FROM prof) THEN 'student_exam_buyer'
+        WHEN pct_festival_orders > (SELECT quantile_cont(pct_festival_orders, 0.75) FROM {prof}) THEN 'festival_bulk_buyer'
+        WHEN frequency < (SELECT quantile_cont(frequency, 0.35) FROM {prof})
+         AND avg_basket_size < (SELECT quantile_cont(avg_basket_size, 0.5) FROM {prof}) THEN 'student_exam_buyer'
         ELSE 'impulse_buyer' END AS cluster_name
-    FROM prof""")
+    FROM {prof}"""
+twin("persona_names", PERSONAS.format(first="", prof="prof"))
+CTES["zsum"] = "SELECT cluster_id, count(*) AS n, sum({q}) AS q, {s} FROM zl GROUP BY cluster_id".format(
+    q=" + ".join(f"{f} * {f}" for f in CLUSTER_FEATURES), s=", ".join(f"sum({f}) AS {f}" for f in CLUSTER_FEATURES))
 twin("silhouette", f"""
+    SELECT round(avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0)), 6) AS silhouette
+    FROM (SELECT user_id, max(CASE WHEN own AND n > 1 THEN t / (n - 1) END) AS a, min(CASE WHEN NOT own THEN t / n END) AS b
+          FROM (SELECT p.user_id, p.cluster_id = c.cluster_id AS own, n,
+                       greatest(0, n * ({' + '.join(f'p.{f} * p.{f}' for f in CLUSTER_FEATURES)})
+                         - 2 * ({' + '.join(f'p.{f} * c.{f}' for f in CLUSTER_FEATURES)}) + q) AS t
+                FROM zl p CROSS JOIN zsum c)
+          GROUP BY user_id)""")
+twin("sampled_silhouette", f"""
     SELECT round(avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0)), 6) AS silhouette
     FROM (SELECT id, max(CASE WHEN own AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN NOT own THEN s / n END) AS b
           FROM (SELECT p.user_id AS id, p.cluster_id = q.cluster_id AS own, q.cluster_id, count(*) AS n,
@@ -585,9 +596,20 @@ CTES["close_pairs"] = f"""
     SELECT a.user_id AS a, b.user_id AS b FROM z a JOIN z b ON {spread('a', 'b')} <= {EPS} * {EPS}::DOUBLE"""
 CTES["cores"] = f"SELECT a FROM close_pairs GROUP BY a HAVING count(*) >= {MIN_SAMPLES}"
 SHARED.update({"close_pairs", "cores"})
-twin("density_outliers", """
+CTES["noise"] = """
     SELECT user_id, CAST(user_id NOT IN (SELECT p.a FROM close_pairs p JOIN cores c ON p.b = c.a) AS INTEGER) AS is_noise
-    FROM z""")
+    FROM z"""
+twin("density_outliers", "SELECT * FROM noise")
+CTES["relabelled"] = """
+    SELECT user_id, CAST(CASE WHEN is_noise = 1 THEN top + 1 ELSE cluster_id END AS INTEGER) AS cluster_id,
+           CAST(top + 1 AS INTEGER) AS power_label
+    FROM noise JOIN seg USING (user_id) CROSS JOIN (SELECT max(cluster_id) AS top FROM noise JOIN seg USING (user_id))"""
+SHARED.add("relabelled")
+twin("outlier_labels", "SELECT * FROM relabelled")
+CTES["prof_out"] = "SELECT r.cluster_id, any_value(power_label) AS power_label, " + ", ".join(
+    f"avg({f}) AS {f}" for f in CLUSTER_FEATURES
+) + " FROM zraw JOIN relabelled r USING (user_id) GROUP BY r.cluster_id"
+twin("persona_names_with_outliers", PERSONAS.format(first="WHEN cluster_id = power_label THEN 'power_user'", prof="prof_out"))
 
 # ---- fusion
 twin("latest_forecast", "SELECT store_id, product_name, order_date, units_sold, forecast_units, model_type FROM latest")
@@ -603,13 +625,23 @@ twin("urgency_scores", f"""
 twin("attach_bundles", """
     SELECT i.product_name, consequent AS bundle_with, round(lift, 6) AS bundle_lift
     FROM (SELECT DISTINCT product_name FROM master) i LEFT JOIN name_best ON i.product_name = antecedent""")
+CTES["name_best_by"] = """
+    SELECT segment, antecedent, consequent, lift FROM name_rules WHERE n_left = 1
+    QUALIFY row_number() OVER (PARTITION BY segment, antecedent ORDER BY lift DESC, consequent) = 1"""
+twin("attach_bundles_by_segment", """
+    SELECT i.store_id, i.product_name, i.dominant_segment, coalesce(o.consequent, b.consequent) AS bundle_with,
+           round(coalesce(o.lift, b.lift), 6) AS bundle_lift
+    FROM (SELECT DISTINCT store_id, product_name, dominant_segment FROM daily JOIN dominant USING (store_id)) i
+    LEFT JOIN name_best_by o ON i.dominant_segment = o.segment AND i.product_name = o.antecedent
+    LEFT JOIN name_best b ON i.product_name = b.antecedent""")
 twin("action_list", "SELECT * FROM acts")
+twin("action_list_as_of", "SELECT * FROM acts_as_of")
 twin("urgency_distribution", "SELECT urgency_label, urgency, count(*) AS n FROM acts GROUP BY ALL")
 twin("bundle_coverage", """
     SELECT count(*) AS actions, count(bundle_with) AS with_bundle, max(bundle_lift) AS top_lift FROM acts""")
 twin("critical_actions", """
     SELECT store_id, product_name, forecast_units, current_stock, reorder_qty, urgency_label, bundle_with
-    FROM acts WHERE urgency = 4 ORDER BY reorder_qty DESC, store_id, product_name LIMIT 5""")
+    FROM acts_as_of WHERE urgency = 5 ORDER BY reorder_qty DESC, store_id, product_name LIMIT 5""")
 twin("store_kpis", """
     SELECT store_id, count(*) AS skus, count(*) FILTER (WHERE forecast_units > current_stock) AS stockout_risk,
            count(*) FILTER (WHERE urgency >= 4) AS alerts, CAST(sum(reorder_qty) AS BIGINT) AS units_to_reorder

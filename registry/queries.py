@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,8 @@ from stockweave.operators import (
     segments,
 )
 from stockweave.functions.scalars import calendar_parts, days_to_next, rain_bin, temp_bin, time_slot
-from stockweave.params import CLUSTER_FEATURES, ForecastParams, MiningParams, RfmParams, SegmentParams
+from stockweave.params import CLUSTER_FEATURES, ForecastParams, FusionParams, MiningParams, RfmParams, SegmentParams
+from registry import weather_input
 from registry.scratch import local_scratch
 from stockweave.session import materialize, scratch_path, tune
 from stockweave.sources import adapter, raw, weather
@@ -38,6 +39,8 @@ MINING = MiningParams(min_orders=100)
 CAPPED = replace(MINING, max_orders=150, top_items=50)
 FORECAST = ForecastParams()
 GENERATED_AT = datetime(2001, 8, 1, 9, 30)
+FESTIVAL_DAY = date(2001, 7, 29)
+LAST_DAY = date(2001, 6, 30)
 
 
 def query(name: str):
@@ -69,7 +72,7 @@ def order_heads(spark: SparkSession, d: str) -> DataFrame:
 
 def context(spark: SparkSession, d: str) -> DataFrame:
     dates = order_heads(spark, d).select("order_id", "user_id", "order_date")
-    return features.order_context(dates, adapter.weather(spark, d), adapter.calendar(spark, d))
+    return features.order_context(dates, weather_input.weather(spark, d), adapter.calendar(spark, d))
 
 
 def dated_orders(spark: SparkSession, d: str) -> DataFrame:
@@ -82,7 +85,7 @@ def enriched(spark: SparkSession, d: str, item: str = "product_name") -> DataFra
     lines = adapter.sales(spark, d, ["order_id", "order_hour_of_day", item]).withColumnRenamed(
         item, "product_name"
     )
-    days = adapter.weather(spark, d).select(F.col("date").alias("order_date"), "rain_bin")
+    days = weather_input.weather(spark, d).select(F.col("date").alias("order_date"), "rain_bin")
     when = dated_orders(spark, d).join(days, "order_date", "left")
     return baskets.enrich_baskets(lines, when, adapter.segments(spark, d))
 
@@ -94,14 +97,14 @@ def daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spine(spark: SparkSession, d: str) -> DataFrame:
-    """Top products' daily series; the aggregated demand is written once and used four times."""
+    """Daily series of all products; the aggregated demand is written once and read twice."""
     return demand.demand_spine(materialize(daily(spark, d), "daily_demand"), FORECAST.top_skus)
 
 
 def model_rows(spark: SparkSession, d: str) -> DataFrame:
     """All model inputs, materialized."""
     rows = demand.lag_features(
-        demand.with_day_context(spine(spark, d), adapter.weather(spark, d), adapter.calendar(spark, d))
+        demand.with_day_context(spine(spark, d), weather_input.weather(spark, d), adapter.calendar(spark, d))
     )
     return demand.demand_features(materialize(rows, "lagged_demand"), FORECAST)
 
@@ -149,18 +152,26 @@ def plain(rule_table: DataFrame) -> DataFrame:
     return rounded(rule_table.drop("antecedents", "consequents"))
 
 
-def actions(spark: SparkSession, d: str) -> DataFrame:
+def actions(spark: SparkSession, d: str, until: date | None = None, p: FusionParams = FusionParams()) -> DataFrame:
+    """The list from all forecasts, or from those up to a day."""
     forecasts = materialize(naive_forecasts(spark, d), "forecasts")
+    known = forecasts if until is None else forecasts.filter(F.col("order_date") <= F.lit(until))
     return fusion.build_action_list(
-        forecasts,
-        fusion.current_stock(forecasts),
+        known,
+        fusion.current_stock(known),
         fusion.dominant_segment(adapter.segments(spark, d), adapter.demographics(spark, d)),
         product_rules(spark, d),
         adapter.calendar(spark, d),
         GENERATED_AT,
+        p,
     )
 
 
+def festival_actions(spark: SparkSession, d: str) -> DataFrame:
+    """The list as of a festival day, each action in the context of its own day."""
+    return actions(spark, d, FESTIVAL_DAY, FusionParams(event_mode="as_of"))
+
+
 # ---- scans, sources, sinks -------------------------------------------------
 
 
@@ -193,7 +204,7 @@ def _(spark, d):
 
 @query("weather_json_explode")
 def _(spark, d):
-    path = adapter.land_weather_json(spark, d, scratch_path(spark, "weather_json"))
+    path = weather_input.land_json(weather_input.event_readings(spark, d), scratch_path(spark, "weather_json"))
     return weather.read_weather_json(spark, path)
 
 
@@ -226,17 +237,23 @@ def _(spark, d):
 
 @query("store_assignment")
 def _(spark, d):
-    return demographics.assign_stores(adapter.orders(spark, d))
+    return demographics.assign_stores(adapter.orders(spark, d), adapter.demographics(spark, d))
+
+
+def calendar_orders(spark: SparkSession, d: str) -> DataFrame:
+    """The event calendar with the number of orders of each day."""
+    per_day = adapter.orders(spark, d).groupBy(F.col("order_date").alias("date")).agg(F.count("order_id").alias("orders"))
+    return adapter.calendar(spark, d).join(per_day, "date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
 
 
 @query("event_calendar")
 def _(spark, d):
-    return adapter.calendar(spark, d)
+    return calendar_orders(spark, d)
 
 
 @query("event_calendar_summary")
 def _(spark, d):
-    return calendar.event_calendar_summary(adapter.calendar(spark, d))
+    return calendar.event_calendar_summary(calendar_orders(spark, d))
 
 
 @query("days_to_festival")
@@ -254,7 +271,7 @@ def _(spark, d):
 @query("weather_bins")
 def _(spark, d):
     rows = dated_orders(spark, d).select("order_id", F.col("order_date").alias("date"))
-    return adapter.weather_values(rows.select("date").distinct()).join(rows, "date").select(
+    return weather_input.weather_values(rows.select("date").distinct()).join(rows, "date").select(
         "order_id", "temp_max", "precipitation",
         temp_bin(F.col("temp_max")).alias("temp_bin"), rain_bin(F.col("precipitation")).alias("rain_bin"),
     )
@@ -278,7 +295,8 @@ def _(spark, d):
 @query("order_dates")
 def _(spark, d):
     cols = ["order_id", "user_id", "order_number", "days_since_prior_order"]
-    return features.assign_order_dates(adapter.sales(spark, d, cols))
+    first = demographics.first_order_days(adapter.orders(spark, d))
+    return features.assign_order_dates(adapter.sales(spark, d, cols), first, LAST_DAY)
 
 
 @query("order_context")
@@ -319,7 +337,17 @@ def _(spark, d):
 
 @query("value_counts")
 def _(spark, d):
-    return profile.value_counts(demographics.assign_stores(adapter.orders(spark, d)), "store_id")
+    return profile.value_counts(adapter.demographics(spark, d), "store_id")
+
+
+@query("value_counts_rain")
+def _(spark, d):
+    return profile.value_counts(context(spark, d), "rain_bin")
+
+
+@query("value_counts_product")
+def _(spark, d):
+    return profile.value_counts(adapter.sales(spark, d, ["product_name"]), "product_name")
 
 
 @query("null_profile")
@@ -402,7 +430,7 @@ def _(spark, d):
 
 @query("demand_top_skus")
 def _(spark, d):
-    return demand.demand_top_skus(materialize(daily(spark, d), "daily_demand"), FORECAST.top_skus)
+    return demand.demand_top_skus(materialize(daily(spark, d), "daily_demand"), 50)
 
 
 @query("demand_spine")
@@ -433,7 +461,7 @@ def _(spark, d):
 
 @query("event_uplift")
 def _(spark, d):
-    rows = demand.with_day_context(spine(spark, d), adapter.weather(spark, d), adapter.calendar(spark, d))
+    rows = demand.with_day_context(spine(spark, d), weather_input.weather(spark, d), adapter.calendar(spark, d))
     return rounded(demand.event_uplift(rows))
 
 
@@ -470,19 +498,22 @@ def _(spark, d):
     return rounded(forecast.forecast_hit_rate(folds, F.col("rolling_30d_mean")))
 
 
-BOOSTED = replace(FORECAST, rounds=10)
+@query("gbt_forecast")
+def _(spark, d):
+    rows = materialize(model_rows(spark, d), "model_rows")
+    return forecast.boosted_forecast(rows, forecast.fit_boosted(rows, FORECAST), FORECAST)
 
 
-@query("gbt_forecast")
+@query("gbt_fold_report")
 def _(spark, d):
     rows = materialize(model_rows(spark, d), "model_rows")
-    return forecast.boosted_forecast(rows, forecast.fit_boosted(rows, BOOSTED), BOOSTED)
+    return forecast.fold_report(forecast.fit_boosted(rows, FORECAST))
 
 
 @query("feature_importance")
 def _(spark, d):
     rows = materialize(model_rows(spark, d), "model_rows")
-    return forecast.feature_importance(forecast.fit_boosted(rows, BOOSTED), BOOSTED)
+    return forecast.feature_importance(forecast.fit_boosted(rows, FORECAST), FORECAST)
 
 
 # ---- baskets and rules -----------------------------------------------------
@@ -576,7 +607,15 @@ def _(spark, d):
 
 # ---- segmentation ----------------------------------------------------------
 
-SEGMENT = SegmentParams(restarts=3, sweep_restarts=1, max_iter=20)
+SEGMENT = SegmentParams()
+
+
+def outliers(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
+    """The given segments, density outliers as a cluster of their own."""
+    scaled = materialize(segments.scaled_features(rows), "scaled")
+    noise = density.density_noise(scaled, CLUSTER_FEATURES, "user_id", SEGMENT.eps, SEGMENT.min_samples)
+    given = adapter.segments(spark, d).select("user_id", "cluster_id")
+    return materialize(segments.outlier_labels(given, noise), "outlier_labels")
 
 
 @query("feature_medians")
@@ -600,9 +639,29 @@ def _(spark, d):
     return segments.persona_names(materialize(rows, "profile"))
 
 
+@query("persona_names_with_outliers")
+def _(spark, d):
+    rows = cluster_input(spark, d)
+    marked = outliers(spark, d, rows)
+    profile_rows = segments.cluster_profile(rows.join(marked, "user_id"), CLUSTER_FEATURES)
+    power = marked.agg(F.max("power_label").alias("m")).scalar()
+    return segments.persona_names(materialize(profile_rows, "profile"), power)
+
+
+@query("outlier_labels")
+def _(spark, d):
+    return outliers(spark, d, cluster_input(spark, d))
+
+
 @query("silhouette")
 def _(spark, d):
-    return rounded(segments.silhouette(labelled(spark, d), CLUSTER_FEATURES, "cluster_id", "user_id"))
+    return rounded(segments.silhouette(labelled(spark, d), CLUSTER_FEATURES, "cluster_id"))
+
+
+@query("sampled_silhouette")
+def _(spark, d):
+    """The sample is the operator's own; the twin holds while all users fit in it."""
+    return rounded(segments.sampled_silhouette(labelled(spark, d), CLUSTER_FEATURES, "cluster_id", "user_id"))
 
 
 @query("davies_bouldin")
@@ -671,11 +730,23 @@ def _(spark, d):
     return rounded(fusion.attach_bundles(items, product_rules(spark, d)))
 
 
+@query("attach_bundles_by_segment")
+def _(spark, d):
+    stores = fusion.dominant_segment(adapter.segments(spark, d), adapter.demographics(spark, d))
+    items = daily(spark, d).select("store_id", "product_name").distinct().join(stores, "store_id")
+    return rounded(fusion.attach_bundles(items, product_rules(spark, d), segment_first=True))
+
+
 @query("action_list")
 def action_list(spark, d):
     return fusion.ranked(rounded(actions(spark, d)))
 
 
+@query("action_list_as_of")
+def _(spark, d):
+    return fusion.ranked(rounded(festival_actions(spark, d)))
+
+
 @query("urgency_distribution")
 def _(spark, d):
     return fusion.urgency_distribution(actions(spark, d))
@@ -688,7 +759,7 @@ def _(spark, d):
 
 @query("critical_actions")
 def _(spark, d):
-    return fusion.most_urgent(actions(spark, d), level=4)
+    return fusion.most_urgent(festival_actions(spark, d))
 
 
 @query("store_kpis")

@@ -46,17 +46,22 @@ def running_sum(
     )
 
 
-def daily_positions(df: DataFrame, keys: Sequence[str], day: str, tie: Sequence[str]) -> DataFrame:
+def daily_positions(
+    df: DataFrame, keys: Sequence[str], day: str, tie: Sequence[str], block: str | None = None
+) -> DataFrame:
     """Add ``position`` (1-based, by day then ``tie``) and ``prior_day`` per key.
 
     ``prior_day`` is the day of the preceding row, null for the first. The outer window runs
-    over distinct days, which the calendar bounds; ranks are taken inside one day.
+    over distinct days, which the calendar bounds; ranks are taken inside one day, or with
+    ``block``, the first column of ``tie``, inside one of its values: a hot day is not one task.
     """
     keys = list(keys)
+    cells = [*keys, day, *([block] if block else [])]
     by_day = Window.partitionBy(*keys).orderBy(day)
+    counts = df.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
     days = (
-        df.groupBy(*keys, day)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        counts.groupBy(*keys, day)
+        .agg(F.sum("_n").alias("_n"))
         .select(
             *keys,
             day,
@@ -66,13 +71,22 @@ def daily_positions(df: DataFrame, keys: Sequence[str], day: str, tie: Sequence[
             F.lag(day).over(by_day).alias("_last_day"),
         )
     )
-    rank = F.row_number().over(Window.partitionBy(*keys, day).orderBy(*tie))
+    if block:
+        in_day = Window.partitionBy(*keys, day).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        inner = counts.withColumn("_inner", F.coalesce(F.sum("_n").over(in_day), F.lit(0))).drop("_n")
+        days = inner.join(days, [*keys, day]).withColumn("_before", F.col("_before") + F.col("_inner"))
+        days = days.withColumn("_first", F.col("_inner") == 0).drop("_inner")
+    else:
+        days = days.withColumn("_first", F.lit(True))
+    rank = F.row_number().over(Window.partitionBy(*cells).orderBy(*tie))
     return (
         df.withColumn("_rank", rank)
-        .join(days, [*keys, day])
+        .join(days, cells)
         .withColumn("position", F.col("_before") + F.col("_rank"))
-        .withColumn("prior_day", F.when(F.col("_rank") == 1, F.col("_last_day")).otherwise(F.col(day)))
-        .drop("_rank", "_before", "_last_day")
+        .withColumn(
+            "prior_day", F.when((F.col("_rank") == 1) & F.col("_first"), F.col("_last_day")).otherwise(F.col(day))
+        )
+        .drop("_rank", "_before", "_last_day", "_first")
     )
 
 
@@ -108,33 +122,44 @@ def capped_by_hash(
     return whole.unionByName(cut).drop("_h", "_block", "_room", "_cut")
 
 
-def ordered_codes(df: DataFrame, column: str, code: str, splitters: int = 64) -> DataFrame:
-    """Distinct values of ``column`` with their 0-based position in sorted order.
+def ranked(rows: DataFrame, keys: Sequence[str], out: str, after: Sequence[str] = ()) -> DataFrame:
+    """Add the 0-based place in the order of ``keys``; with ``after``, a prefix of the keys, the place
+    among rows that are equal in it.
 
-    Splitters, a bounded sample of the distinct values taken by hash, cut the value range into
-    blocks; positions are block offset + rank in the block, so no task sorts all values. The
-    distinct values are written once, ``df`` is scanned once.
+    Range partitions, as many as the rows fill, are sorted and numbered inside; the offsets are sums
+    over one row per partition (and per value of ``after`` that begins in it).
     """
-    values = materialize(df.select(column).distinct(), "distinct_values")
-    cuts = (
-        values.filter(F.col(column).isNotNull())
-        .orderBy(F.xxhash64(column), column)
-        .limit(splitters)
-        .agg(F.sort_array(F.collect_list(column)).alias("cuts"))
-        .scalar()
+    written = materialize(
+        rows.repartitionByRange(*[F.col(k) for k in keys])
+        .sortWithinPartitions(*keys)
+        .withColumn("_number", F.monotonically_increasing_id()),
+        "ordered",
     )
-    blocks = values.withColumn("_cuts", cuts).select(
-        column, F.size(F.filter("_cuts", lambda c: c <= F.col(column))).alias("_block")
-    )
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (  # at most splitters + 1 rows
-        blocks.groupBy("_block")
+    # A partition's numbers start at its index times 2^33.
+    part, inner = F.shiftright("_number", 33), F.col("_number").bitwiseAND((1 << 33) - 1)
+    placed = written.withColumn("_part", part).withColumn("_inner", inner)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy(F.col(column).asc_nulls_first()))
-    return (
-        blocks.withColumn("_r", rank)
-        .join(F.broadcast(offsets), "_block")
-        .select(column, (F.col("_offset") + F.col("_r") - 1).cast("int").alias(code))
+        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
+    whole = placed.join(F.broadcast(starts), "_part").withColumn(out, F.col("_start") + F.col("_inner"))
+    if after:
+        first = whole.groupBy(*after).agg(F.min(out).alias("_first"))
+        whole = whole.join(first, list(after)).withColumn(out, F.col(out) - F.col("_first")).drop("_first")
+    return whole.drop("_number", "_part", "_inner", "_start")
+
+
+def value_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): the distinct values of several string columns, null included, with
+    their 0-based place in sorted order. One scan of ``df`` and one sort for all columns."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    values = df.select(F.inline(cells)).distinct()
+    placed = ranked(values, ["column", "value"], "code", ["column"])
+    return placed.select("column", "value", F.col("code").cast("int").alias("code"))
+
+
+def ordered_codes(df: DataFrame, column: str, code: str) -> DataFrame:
+    """Distinct values of ``column`` with their 0-based position in sorted order."""
+    return value_codes(df, [column]).select(F.col("value").alias(column), F.col("code").alias(code))

@@ -11,9 +11,6 @@ from stockweave.params import URGENCY, CalendarParams, FusionParams
 
 _PRIME = 2_147_483_647  # 2^31 - 1, so that products stay below 2^63
 
-# One salt per derived attribute keeps the attributes independent of each other.
-PIN_SALT, INCOME_SHARES_SALT, AGE_SHARES_SALT = 1, 2, 3
-
 
 def mixed_hash(key: Column, salt: int = 0) -> Column:
     """Deterministic hash of an integer key into [0, 2^31 - 2].

@@ -23,11 +23,11 @@ def event_calendar(days: DataFrame, params: CalendarParams = CalendarParams()) -
 
 
 def event_calendar_summary(calendar: DataFrame) -> DataFrame:
-    return calendar.agg(
-        F.count(F.lit(1)).alias("calendar_days"),
-        F.sum("is_festival").alias("festival_days"),
-        F.sum("is_ipl_match_day").alias("season_days"),
-    )
+    """Days per flag, and their orders where the calendar has a column ``orders``."""
+    sums = {"festival": F.col("is_festival"), "season": F.col("is_ipl_match_day")}
+    days = [F.sum(c).alias(f"{name}_days") for name, c in sums.items()]
+    orders = [F.sum(c * F.col("orders")).alias(f"{name}_orders") for name, c in sums.items()]
+    return calendar.agg(F.count(F.lit(1)).alias("calendar_days"), *days, *(orders if "orders" in calendar.columns else []))
 
 
 def with_calendar_parts(df: DataFrame, day: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockweave.functions.ordering import ordered_codes
+from stockweave.functions.ordering import value_codes
 from stockweave.functions.scalars import calendar_parts
 from stockweave.operators.features import EVENT_COLUMNS
 from stockweave.params import ForecastParams
@@ -43,28 +43,27 @@ def top_skus(daily: DataFrame, n: int) -> DataFrame:
 
 def demand_top_skus(daily: DataFrame, n: int) -> DataFrame:
     """Demand of the top products only."""
-    return daily.join(F.broadcast(top_skus(daily, n).select("product_name")), "product_name", "left_semi")
+    return daily.join(top_skus(daily, n).select("product_name"), "product_name", "left_semi")
 
 
-def demand_spine(daily: DataFrame, n: int) -> DataFrame:
-    """Every (day, store, top product), days without sales filled with 0.
+def demand_spine(daily: DataFrame, n: int | None = None) -> DataFrame:
+    """Every day of every (store, product) that occurs, days without sales filled with 0.
 
-    The product list holds at most ``n`` names and the day range is two values, so stores are
-    expanded in place: no join builds the product of the three.
+    With ``n``, of the top products only. The series are spread over the tasks before their days are
+    made: the day range is two values, so no join builds the product.
     """
-    kept = demand_top_skus(daily, n)
+    kept = daily if n is None else demand_top_skus(daily, n)
     span = kept.agg(
-        F.struct(
-            F.min("order_date").alias("lo"),
-            F.max("order_date").alias("hi"),
-            F.sort_array(F.collect_set("product_name")).alias("names"),
-        ).alias("s")
+        F.struct(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).alias("s")
     ).scalar()
+    # A stated number, and another order of keys than the exchange below: the series are few bytes,
+    # and would else be merged into one task.
+    tasks = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = (
-        kept.select("store_id")
+        kept.select(*SERIES)
         .distinct()
+        .repartition(tasks, *reversed(SERIES))
         .withColumn("_s", span)
-        .select("store_id", "_s", F.explode("_s.names").alias("product_name"))
         .select(
             *SERIES, F.explode(F.sequence("_s.lo", "_s.hi", F.expr("interval 1 day"))).alias("order_date")
         )
@@ -113,14 +112,15 @@ def lag_features(demand: DataFrame, lags: tuple[int, ...] = (1, 7, 14, 30)) -> D
 def label_encode(df: DataFrame, codes: dict[str, str]) -> DataFrame:
     """Add ``code`` per ``column`` of ``{column: code}``: 0-based place in alphabetical order.
 
-    A null is a value of its own, named 'nan'. The code tables are written first: Spark then
-    knows their size and joins a small one without shuffling ``df``.
+    A null is a value of its own, named 'nan'. One job makes all code tables; they are written, so
+    Spark knows their size and joins a small one without shuffling ``df``.
     """
     out = df
+    labels = {c: F.coalesce(F.col(c), F.lit("nan")) for c in codes}
+    table = materialize(value_codes(df.select(*[v.alias(c) for c, v in labels.items()]), list(codes)), "codes")
     for column, code in codes.items():
-        text = F.coalesce(F.col(column), F.lit("nan"))
-        table = materialize(ordered_codes(df.select(text.alias("_label")), "_label", code), code)
-        out = out.withColumn("_label", text).join(table, "_label").drop("_label")
+        own = table.filter(F.col("column") == column).select(F.col("value").alias("_label"), F.col("code").alias(code))
+        out = out.withColumn("_label", labels[column]).join(own, "_label").drop("_label")
     return out
 
 

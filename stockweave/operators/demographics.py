@@ -1,44 +1,18 @@
-"""Store assignment: a stateless, reproducible spread of users over areas and buckets."""
+"""Users and their stores, from real keys."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.functions.scalars import (
-    AGE_SHARES_SALT,
-    INCOME_SHARES_SALT,
-    PIN_SALT,
-    mixed_hash,
-    pick_by_share,
-)
-from stockweave.params import AGE_SHARES, INCOME_SHARES, PIN_CODES
-
 
-def assign_stores(orders: DataFrame, pin_codes: Mapping[str, tuple[str, str]] = PIN_CODES) -> DataFrame:
-    """One row per user of ``orders`` with pin code, city, store, income bucket, age group."""
+def assign_stores(orders: DataFrame, areas: DataFrame) -> DataFrame:
+    """(user_id, pin_code, city, store_id) of every user of ``orders``; users without an area keep
+    nulls. ``areas`` has one row per user."""
     users = orders.select("user_id").distinct()
-    user = F.col("user_id")
-    pins = F.array(*[F.lit(p) for p in pin_codes])
-    places = F.create_map(
-        *[
-            x
-            for pin, (city, store) in pin_codes.items()
-            for x in (F.lit(pin), F.struct(F.lit(city).alias("city"), F.lit(store).alias("store_id")))
-        ]
-    )
-    index = (mixed_hash(user, PIN_SALT) % F.lit(len(pin_codes))).cast("int")
-    return (
-        users.withColumn("pin_code", F.get(pins, index))
-        .withColumn("_place", places[F.col("pin_code")])
-        .select(
-            "user_id",
-            "pin_code",
-            F.col("_place.city").alias("city"),
-            F.col("_place.store_id").alias("store_id"),
-            pick_by_share(mixed_hash(user, INCOME_SHARES_SALT), INCOME_SHARES).alias("income_bucket"),
-            pick_by_share(mixed_hash(user, AGE_SHARES_SALT), AGE_SHARES).alias("age_group"),
-        )
-    )
+    return users.join(areas.select("user_id", "pin_code", "city", "store_id"), "user_id", "left")
+
+
+def first_order_days(orders: DataFrame) -> DataFrame:
+    """(user_id, first_order_date) from dated orders."""
+    return orders.groupBy("user_id").agg(F.min("order_date").alias("first_order_date"))

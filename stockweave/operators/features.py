@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions.ordering import running_sum
-from stockweave.functions.scalars import mixed_hash
 from stockweave.operators.master import distinct_orders
-from stockweave.params import RfmParams, TimelineParams
+from stockweave.params import RfmParams
 from stockweave.session import materialize
 
 WEATHER_COLUMNS = ("temp_bin", "rain_bin", "temp_max", "precipitation")
@@ -17,17 +18,21 @@ EVENT_COLUMNS = (
 )
 
 
-def assign_order_dates(master: DataFrame, params: TimelineParams = TimelineParams()) -> DataFrame:
-    """(order_id, user_id, order_number, order_date): anchor + user offset + days so far."""
+def assign_order_dates(master: DataFrame, first_days: DataFrame, last_day: date | None = None) -> DataFrame:
+    """(order_id, user_id, order_number, order_date): the user's first day plus the days so far.
+
+    ``first_days``: (user_id, first_order_date). Users without one get null dates; ``last_day``
+    bounds the dates.
+    """
     orders = materialize(  # read by the block totals and by the rows
         distinct_orders(master, ("order_id", "user_id", "order_number", "days_since_prior_order")), "orders"
     )
     gap = F.coalesce("days_since_prior_order", F.lit(0.0))
     dated = running_sum(orders, ["user_id"], "order_number", gap, "_elapsed")
-    offset = mixed_hash(F.col("user_id"), params.salt) % F.lit(params.start_spread)
-    day = F.date_add(F.lit(params.anchor), F.floor(offset + F.col("_elapsed")).cast("int"))
-    return dated.select(
-        "order_id", "user_id", "order_number", F.least(day, F.lit(params.last_day)).alias("order_date")
+    day = F.date_add("first_order_date", F.floor("_elapsed").cast("int"))
+    capped = day if last_day is None else F.when(day.isNotNull(), F.least(day, F.lit(last_day)))
+    return dated.join(first_days.select("user_id", "first_order_date"), "user_id", "left").select(
+        "order_id", "user_id", "order_number", capped.alias("order_date")
     )
 
 

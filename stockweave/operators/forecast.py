@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockweave.functions.ordering import daily_positions
+from stockweave.functions.ordering import daily_positions, ranked
 from stockweave.functions.quantiles import exact_quantiles
 from stockweave.functions.scalars import half_even_int, mixed_hash, percentage_error
 from stockweave.operators.demand import SERIES
@@ -31,7 +32,7 @@ def time_series_folds(demand: DataFrame, p: ForecastParams = ForecastParams()) -
     """
     rows = demand.filter("units_sold > 0") if p.nonzero_only else demand
     n = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    placed = daily_positions(rows, [], "order_date", list(SERIES)).drop("prior_day")
+    placed = daily_positions(rows, [], "order_date", list(SERIES), SERIES[0]).drop("prior_day")
     size = F.floor(n / F.lit(p.folds + 1))
     fold = F.floor(
         F.try_divide(F.col("position") - 1 - (n - size * F.lit(p.folds)), size)
@@ -129,6 +130,46 @@ def assemble(rows: DataFrame, p: ForecastParams) -> DataFrame:
     )
 
 
+def boosted_trees(p: ForecastParams, rounds: int) -> GBTRegressor:
+    return GBTRegressor(
+        labelCol="units_sold",
+        maxIter=rounds,
+        stepSize=p.step,
+        maxDepth=p.depth,
+        minInstancesPerNode=p.min_leaf_rows,
+        seed=p.seed,
+    )
+
+
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """1-based round of the least error before ``patience`` rounds without a smaller one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_stopped(train: DataFrame, validation: DataFrame, p: ForecastParams) -> Model:
+    """Boosted trees with as many rounds, at most ``rounds``, as serve the validation rows.
+
+    Trees are fitted in growing numbers until the best round has ``patience`` rounds behind it. The
+    first trees of a fit do not depend on how many follow, so fitting again with the best number of
+    rounds gives just the trees up to it.
+    """
+    if validation.isEmpty():
+        return boosted_trees(p, p.rounds).fit(train)
+    rounds = min(p.rounds, 2 * p.patience)
+    while True:
+        model = boosted_trees(p, rounds).fit(train)
+        best = best_round(model.evaluateEachIteration(validation, "squared"), p.patience)
+        if rounds >= p.rounds or rounds - best >= p.patience:
+            return model if best == rounds else boosted_trees(p, best).fit(train)
+        rounds = min(p.rounds, 2 * rounds)
+
+
 def fit_boosted(features: DataFrame, p: ForecastParams = ForecastParams(), validation_share: float = 0.1) -> BoostedForecast:
     """Boosted trees per expanding fold; the newest tenth of a training block stops the rounds.
 
@@ -143,23 +184,26 @@ def fit_boosted(features: DataFrame, p: ForecastParams = ForecastParams(), valid
     model, scored = None, None
     for fold, start in sorted(starts.items()):
         cut = start - 1 - int((start - 1) * validation_share)
-        train = rows.filter(F.col("position") < start).withColumn("_validate", F.col("position") > cut)
-        model = GBTRegressor(
-            labelCol="units_sold",
-            maxIter=p.rounds,
-            stepSize=p.step,
-            maxDepth=p.depth,
-            minInstancesPerNode=p.min_leaf_rows,
-            validationIndicatorCol="_validate",
-            seed=p.seed,
-        ).fit(train)
+        model = fit_stopped(
+            rows.filter(F.col("position") <= cut), rows.filter(F.col("position").between(cut + 1, start - 1)), p
+        )
         test = model.transform(rows.filter(F.col("test_fold") == fold))
         scored = test if scored is None else scored.unionByName(test)
     if model is None:
         raise ValueError("too few rows for the folds")
+    scored = materialize(
+        scored.select("test_fold", "units_sold", "lag_7d", "prediction"), "scored_folds"
+    )
     return BoostedForecast(model, forecast_accuracy(scored, F.col("prediction")), scored, rows)
 
 
+def fold_report(fit: BoostedForecast) -> DataFrame:
+    """Per test fold: rows, error of the model and of the naive baseline, improvement in percent."""
+    folds = fold_mape(fit.scored, {"model": F.col("prediction"), "naive": naive_prediction()})
+    gain = F.try_divide(F.col("naive_mape") - F.col("model_mape"), F.col("naive_mape")) * 100
+    return folds.withColumn("improvement_pct", gain)
+
+
 def boosted_forecast(features: DataFrame, fit: BoostedForecast, p: ForecastParams = ForecastParams()) -> DataFrame:
     """Every feature row scored by the last model (a backcast over the whole history)."""
     mape = fit.accuracy.select("mape").scalar()
@@ -171,33 +215,29 @@ def boosted_forecast(features: DataFrame, fit: BoostedForecast, p: ForecastParam
 
 def feature_importance(fit: BoostedForecast, p: ForecastParams = ForecastParams()) -> DataFrame:
     """(feature, gain, mape_increase): tree importance and the rise in MAPE when the feature's
-    values are exchanged between the rows of a bounded sample."""
+    values are exchanged between the test rows, all of them.
+
+    Test rows are numbered in hash order; a feature's values move on by a shift of its own.
+    """
     spark = fit.rows.sparkSession
     names = list(p.features)
     gains = spark.createDataFrame(
         [(n, float(g)) for n, g in zip(names, fit.model.featureImportances.toArray())], "feature string, gain double"
     )
-    key = F.xxhash64("position", F.lit(p.seed))
-    picked = (
-        fit.rows.select("position", "units_sold", vector_to_array("features").alias("x"))
-        .orderBy(key, "position")
-        .limit(p.importance_sample)
+    tests = fit.rows.filter("test_fold IS NOT NULL").select(
+        F.xxhash64("position", F.lit(p.seed)).alias("h"), "position", "units_sold", vector_to_array("features").alias("x")
     )
-    sample = materialize(
-        picked.withColumn("r", F.row_number().over(Window.orderBy(key, "position")) - 1), "importance_sample"
-    )  # the window sees the bounded sample only
-    size = sample.agg(F.count(F.lit(1)).alias("n")).scalar()
-    partner = sample.select(F.col("r").alias("other"), F.col("x").alias("other_x"))
+    rows = materialize(ranked(tests, ["h", "position"], "r").select("r", "units_sold", "x"), "importance_rows")
+    size = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
     shift = mixed_hash(F.col("j"), p.seed) % F.greatest(size - 1, F.lit(1)) + 1
-    variants = (
-        sample.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("j"))
-        .withColumn("other", ((F.col("r") + shift) % size).cast("int"))
-        .join(partner, "other")
+    # Only the one value that moves is shuffled to its new row.
+    moved = rows.select("r", F.posexplode("x").alias("j", "other")).select(
+        ((F.col("r") + shift) % size).alias("r"), "j", "other"
     )
-    mixed = F.transform("x", lambda v, i: F.when(i == F.col("j"), F.get("other_x", i)).otherwise(v))
-    plain = sample.select("units_sold", F.lit(-1).alias("j"), array_to_vector("x").alias("features"))
-    shuffled = variants.select("units_sold", "j", array_to_vector(mixed).alias("features"))
-    scored = fit.model.transform(plain.unionByName(shuffled))
+    mixed = F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("other")).otherwise(v))
+    plain = rows.select("units_sold", F.lit(-1).alias("j"), array_to_vector("x").alias("features"))
+    exchanged = rows.join(moved, "r").select("units_sold", "j", array_to_vector(mixed).alias("features"))
+    scored = fit.model.transform(plain.unionByName(exchanged))
     errors = scored.groupBy("j").agg(
         (F.avg(percentage_error(F.col("units_sold"), F.greatest("prediction", F.lit(0.0)))) * 100).alias("m")
     )

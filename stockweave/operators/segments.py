@@ -7,7 +7,6 @@ from functools import reduce
 from operator import add
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -69,19 +68,19 @@ def kmeans_segments(scaled: DataFrame, k: int, p: SegmentParams = SegmentParams(
 def k_selection(scaled: DataFrame, p: SegmentParams = SegmentParams()) -> DataFrame:
     """(k, inertia, silhouette, best): the smallest k among those with the top silhouette.
 
-    The loop is over the few k; all labelings are then judged together, so the sample's
-    distances are computed once.
+    The loop is over the few k; all labelings are then judged together, on all rows.
     """
     spark = scaled.sparkSession
-    labelled = materialize(with_vector(scaled, p.features), "vectors")
-    costs = []
+    vectors = materialize(with_vector(scaled, p.features), "vectors")
+    labelled, costs = vectors, []
     for k in p.k_values:
-        model = fit_kmeans(labelled.select("features"), k, p.sweep_restarts, p)
+        model = fit_kmeans(vectors.select("features"), k, p.sweep_restarts, p)
         labelled = model.transform(labelled).withColumnRenamed("prediction", f"k_{k}")
         costs.append((k, float(model.summary.trainingCost)))
-    scores = silhouettes(
-        labelled, p.features, [f"k_{k}" for k in p.k_values], "user_id", p.silhouette_sample, p.seed
-    ).withColumn("k", F.substring("label", 3, 9).cast("int"))
+    labelled = materialize(labelled.drop("features"), "k_labels")
+    scores = silhouettes(labelled, p.features, [f"k_{k}" for k in p.k_values]).withColumn(
+        "k", F.substring("label", 3, 9).cast("int")
+    )
     out = materialize(spark.createDataFrame(costs, "k int, inertia double").join(scores, "k"), "k_sweep")
     best = out.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("b")).scalar()
     return out.select("k", "inertia", "silhouette", (F.col("k") == best).cast("int").alias("best"))
@@ -91,25 +90,52 @@ def _distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return F.sqrt(reduce(add, [(x - y) * (x - y) for x, y in zip(a, b)]))
 
 
-def silhouette(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    key: str,
-    sample: int = 20_000,
-    seed: int = 42,
-    mode: str = "euclidean",
+def silhouette(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Mean silhouette by squared distance over all rows, one row."""
+    return silhouettes(df, features, [label]).select("silhouette")
+
+
+def silhouettes(df: DataFrame, features: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """(label, silhouette) of several labelings by squared Euclidean distance, over all rows.
+
+    The squared distances of a point to all members of a cluster sum to n |x|^2 - 2 x.S + Q with the
+    cluster's size n, sum S and sum of squares Q, so every row meets one entry per cluster and never
+    another row. A point alone in its cluster scores 0.
+    """
+    x = [F.col(f).cast("double") for f in features]
+    square = reduce(add, [v * v for v in x])
+    rows, scores = df, []
+    for i, label in enumerate(labels):
+        sums = df.groupBy(F.col(label).alias("c")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(square).alias("q"), F.array(*[F.sum(v) for v in x]).alias("s")
+        )
+        clusters = sums.agg(F.collect_list(F.struct("c", "n", "q", "s")).alias("all")).scalar()
+        rows = rows.withColumn(f"_clusters{i}", clusters)
+        scores.append(F.avg(_silhouette_of(x, square, F.col(label), F.col(f"_clusters{i}"))).alias(label))
+    wide = rows.agg(*scores)
+    pairs = F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("silhouette")) for c in labels])
+    return wide.select(F.inline(pairs))
+
+
+def _silhouette_of(x: Sequence[Column], square: Column, label: Column, clusters: Column) -> Column:
+    def total(o: Column) -> Column:
+        dot = reduce(add, [v * o["s"][i] for i, v in enumerate(x)])
+        return F.greatest(F.lit(0.0), o["n"] * square - dot * 2 + o["q"])
+
+    own = F.filter(clusters, lambda o: (o["c"] == label) & (o["n"] > 1))
+    a = F.get(F.transform(own, lambda o: total(o) / (o["n"] - 1)), F.lit(0))
+    b = F.array_min(F.transform(F.filter(clusters, lambda o: o["c"] != label), lambda o: total(o) / o["n"]))
+    return F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))
+
+
+def sampled_silhouette(
+    df: DataFrame, features: Sequence[str], label: str, key: str, sample: int = 20_000, seed: int = 42
 ) -> DataFrame:
-    """Mean silhouette, one row. 'euclidean' judges a bounded sample, 'squared' all rows with
-    Spark's evaluator."""
-    if mode == "squared":
-        vectors = with_vector(df.drop("features"), features)
-        score = ClusteringEvaluator(featuresCol="features", predictionCol=label).evaluate(vectors)
-        return df.sparkSession.range(1).select(F.lit(float(score)).alias("silhouette"))
-    return silhouettes(df, features, [label], key, sample, seed).select("silhouette")
+    """Mean Euclidean silhouette of a reproducible sample of at most ``sample`` rows, one row."""
+    return sampled_silhouettes(df, features, [label], key, sample, seed).select("silhouette")
 
 
-def silhouettes(
+def sampled_silhouettes(
     df: DataFrame,
     features: Sequence[str],
     labels: Sequence[str],
@@ -248,6 +274,14 @@ def persona_names(profile: DataFrame, power_label: Column | None = None) -> Data
     return profile.withColumn("_q", levels).select("cluster_id", name.alias("cluster_name"))
 
 
+def outlier_labels(labels: DataFrame, noise: DataFrame) -> DataFrame:
+    """(user_id, cluster_id, power_label): outliers (``is_noise``) become the cluster after the last."""
+    marked = labels.join(noise, "user_id")
+    power = (marked.agg(F.max("cluster_id").alias("m")).scalar() + 1).cast("int")
+    label = F.when(F.col("is_noise") == 1, power).otherwise(F.col("cluster_id")).cast("int")
+    return marked.select("user_id", label.alias("cluster_id"), power.alias("power_label"))
+
+
 def segment_labels(features: DataFrame, k: int | None = None, p: SegmentParams = SegmentParams()) -> DataFrame:
     """(user_id, cluster_id, cluster_name): K-Means, density outliers as a cluster of their own,
     then names. Without ``k`` the sweep chooses it."""
@@ -257,16 +291,7 @@ def segment_labels(features: DataFrame, k: int | None = None, p: SegmentParams =
         k = k_selection(scaled, p).filter("best = 1").first()["k"]
     labels = kmeans_segments(scaled, k, p).select("user_id", "cluster_id")
     noise = density_noise(scaled, p.features, "user_id", p.eps, p.min_samples)
-    marked = labels.join(noise, "user_id")
-    power = marked.agg(F.max("cluster_id").alias("m")).scalar() + 1
-    final = materialize(
-        marked.select(
-            "user_id",
-            F.when(F.col("is_noise") == 1, power).otherwise(F.col("cluster_id")).cast("int").alias("cluster_id"),
-            power.cast("int").alias("power_label"),
-        ),
-        "labels",
-    )
+    final = materialize(outlier_labels(labels, noise), "labels")
     profile = materialize(cluster_profile(raw.join(final, "user_id"), p.features), "profile")
     power_label = final.agg(F.max("power_label").alias("m")).scalar()
     names = persona_names(profile, power_label)
@@ -274,13 +299,8 @@ def segment_labels(features: DataFrame, k: int | None = None, p: SegmentParams =
 
 
 def pca_projection(scaled: DataFrame, labels: DataFrame, p: SegmentParams = SegmentParams()) -> DataFrame:
-    """Two principal components of a bounded sample with labels and explained variance shares."""
-    picked = materialize(
-        with_vector(scaled, p.features)
-        .orderBy(mixed_hash(F.col("user_id"), p.seed), "user_id")
-        .limit(p.pca_sample),
-        "pca_sample",
-    )
+    """Two principal components of all rows with labels and explained variance shares."""
+    picked = materialize(with_vector(scaled, p.features), "pca_rows")
     means = picked.agg(F.array(*[F.avg(c) for c in p.features]).alias("m")).scalar()
     centred = picked.withColumn("_m", means).withColumn(
         "features",

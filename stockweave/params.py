@@ -25,20 +25,6 @@ LEAGUE_WINDOWS_2013_2015 = (
     ("2015-04-08", "2015-05-24"),
 )
 
-# Delivery area (pin code) -> city, store.
-PIN_CODES = {
-    "400001": ("Mumbai", "store_mumbai_south"),
-    "400051": ("Mumbai", "store_mumbai_west"),
-    "110001": ("Delhi", "store_delhi_central"),
-    "110075": ("Delhi", "store_delhi_south"),
-    "560001": ("Bangalore", "store_bangalore_cbd"),
-    "560034": ("Bangalore", "store_bangalore_north"),
-}
-
-# Shares in percent.
-INCOME_SHARES = (("low", 30), ("mid", 50), ("high", 20))
-AGE_SHARES = (("18-25", 35), ("26-40", 45), ("40+", 20))
-
 # Urgency level -> label, colour.
 URGENCY = {
     5: ("Critical", "#DC2626"),
@@ -87,12 +73,10 @@ class CalendarParams:
 
 @dataclass(frozen=True)
 class TimelineParams:
-    """Synthetic order dates: anchor day, spread of the first orders, last day."""
+    """First and last day of the calendar."""
 
     anchor: date = date(2013, 1, 1)
-    start_spread: int = 365
     last_day: date = date(2015, 12, 31)
-    salt: int = 31
 
 
 @dataclass(frozen=True)
@@ -127,15 +111,13 @@ class SegmentParams:
     sweep_restarts: int = 10
     seed: int = 42
     max_iter: int = 50
-    silhouette_sample: int = 20_000
-    pca_sample: int = 30_000
     eps: float = 1.2
     min_samples: int = 10
 
 
 @dataclass(frozen=True)
 class ForecastParams:
-    top_skus: int = 50
+    top_skus: int | None = None
     lags: tuple[int, ...] = (1, 7, 14, 30)
     folds: int = 5
     rounds: int = 300
@@ -145,7 +127,7 @@ class ForecastParams:
     seed: int = 42
     features: tuple[str, ...] = DEMAND_FEATURES
     nonzero_only: bool = True
-    importance_sample: int = 2_000
+    patience: int = 30
 
 
 @dataclass(frozen=True)

@@ -2,7 +2,7 @@
 
     python -m stockweave.plans.jobs RAW_DIR WEATHER_JSON OUT_DIR
 
-``RAW_DIR`` holds the five CSV files, ``WEATHER_JSON`` the landed daily weather, ``OUT_DIR`` is a
+``RAW_DIR`` holds the five CSV files and users.csv, ``WEATHER_JSON`` the landed daily weather, ``OUT_DIR`` is a
 folder all executors share. A job reads its inputs by name, so any of them can be run again alone.
 """
 
@@ -75,7 +75,7 @@ def ingest(store: Store, raw_dir: str, s: Settings = Settings()) -> None:
 def assign_users(store: Store, raw_dir: str, s: Settings = Settings()) -> None:
     path = f"{raw_dir.rstrip('/')}/{raw.RAW_FILES['orders']}"
     users = raw.read_csv(store.spark, path, "user_id long")
-    store.write("user_demographics", demographics.assign_stores(users))
+    store.write("user_demographics", demographics.assign_stores(users, raw.load_users(store.spark, raw_dir)))
 
 
 def land_weather(store: Store, landed: str, s: Settings = Settings()) -> None:
@@ -90,10 +90,10 @@ def build_calendar(store: Store, s: Settings = Settings()) -> None:
     store.write("events", calendar.event_calendar(calendar.day_spine(ends, F.col("day")), s.calendar))
 
 
-def build_features(store: Store, s: Settings = Settings()) -> None:
+def build_features(store: Store, raw_dir: str, s: Settings = Settings()) -> None:
     lines = store.read("master")
     store.write("feat_rfm", features.user_rfm(lines, s.rfm))
-    dates = features.assign_order_dates(lines, s.timeline)
+    dates = features.assign_order_dates(lines, raw.load_users(store.spark, raw_dir), s.timeline.last_day)
     store.write("order_context", features.order_context(dates, store.read("weather"), store.read("events")))
     store.write(
         "feature_store",
@@ -148,7 +148,7 @@ def run_all(spark: SparkSession, raw_dir: str, landed_weather: str, folder: str,
     assign_users(store, raw_dir, s)
     land_weather(store, landed_weather, s)
     build_calendar(store, s)
-    build_features(store, s)
+    build_features(store, raw_dir, s)
     segment_users(store, s)
     mine_rules(store, s)
     forecast_demand(store, s)

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockweave.functions.ordering import daily_positions, ordered_codes
-from stockweave.functions.scalars import AGE_SHARES_SALT, INCOME_SHARES_SALT, mixed_hash, pick_by_share
+from stockweave.functions.ordering import daily_positions, ordered_codes, value_codes
 from stockweave.operators.calendar import day_spine, event_calendar
-from stockweave.params import AGE_SHARES, INCOME_SHARES, CalendarParams
-from stockweave.sources.weather import with_weather_bins
+from stockweave.params import CalendarParams
+from stockweave.session import materialize
 
 YEARS = range(1995, 2002)
 CALENDAR = CalendarParams(
@@ -28,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Columns of ``orders`` beside the order id.
+ORDER_HEAD = (
+    "user_id", "order_date", "order_dow", "order_hour_of_day", "order_number", "days_since_prior_order",
+)
+
+
 def orders(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
     """One row per order; ``numbered`` adds order_number and days_since_prior_order."""
     day = F.col("o_orderdate").cast("date")
@@ -49,60 +54,65 @@ def orders(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFram
     )
 
 
-def order_products(spark: SparkSession, sf_dir: str, reordered: bool = False) -> DataFrame:
-    """One row per order line; ``reordered`` marks parts the user bought in an earlier order."""
+def order_products(spark: SparkSession, sf_dir: str, reordered: bool = False, *head: str) -> DataFrame:
+    """One row per order line, with the ``head`` columns of its order; ``reordered`` marks parts the
+    user bought in an earlier order: lines meet their orders once, the first purchase comes from one
+    exchange by user and part."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
     )
+    numbered = bool({"order_number", "days_since_prior_order"} & set(head))
     if not reordered:
-        return lines
-    owned = lines.join(orders(spark, sf_dir).select("order_id", "user_id", "order_date"), "order_id")
-    first = owned.groupBy("user_id", "product_id").agg(
-        F.min(F.struct("order_date", "order_id")).alias("_first")
-    )
-    return owned.join(first, ["user_id", "product_id"]).select(
-        "order_id",
-        "product_id",
-        (F.struct("order_date", "order_id") > F.col("_first")).cast("int").alias("reordered"),
+        return lines.join(orders(spark, sf_dir, numbered).select("order_id", *head), "order_id") if head else lines
+    needed = dict.fromkeys(["user_id", "order_date", *head])
+    owned = lines.join(orders(spark, sf_dir, numbered).select("order_id", *needed), "order_id")
+    when = F.struct("order_date", "order_id")
+    first = F.min(when).over(Window.partitionBy("user_id", "product_id"))
+    return owned.withColumn("reordered", (when > first).cast("int")).select("order_id", "product_id", "reordered", *head)
+
+
+def code_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(column, value, code) of part types and brands: one job for both."""
+    return materialize(value_codes(table(spark, sf_dir, "part"), ["p_type", "p_brand"]), "part_codes")
+
+
+def ids(codes: DataFrame, column: str, id_name: str, name: str) -> DataFrame:
+    return codes.filter(F.col("column") == column).select(
+        (F.col("code") + 1).cast("long").alias(id_name), F.col("value").alias(name)
     )
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str, codes: DataFrame | None = None) -> DataFrame:
     """Products with aisle and department ids."""
+    codes = code_tables(spark, sf_dir) if codes is None else codes
     part = table(spark, sf_dir, "part")
     return (
-        part.join(ordered_codes(part, "p_type", "_a"), "p_type")
-        .join(ordered_codes(part, "p_brand", "_d"), "p_brand")
+        part.join(ids(codes, "p_type", "aisle_id", "p_type"), "p_type")
+        .join(ids(codes, "p_brand", "department_id", "p_brand"), "p_brand")
         .select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            (F.col("_a") + 1).cast("long").alias("aisle_id"),
-            (F.col("_d") + 1).cast("long").alias("department_id"),
+            F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"), "aisle_id", "department_id"
         )
     )
 
 
-def aisles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = ordered_codes(table(spark, sf_dir, "part"), "p_type", "_c")
-    return codes.select((F.col("_c") + 1).cast("long").alias("aisle_id"), F.col("p_type").alias("aisle"))
+def aisles(spark: SparkSession, sf_dir: str, codes: DataFrame | None = None) -> DataFrame:
+    return ids(code_tables(spark, sf_dir) if codes is None else codes, "p_type", "aisle_id", "aisle")
 
 
-def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = ordered_codes(table(spark, sf_dir, "part"), "p_brand", "_c")
-    return codes.select(
-        (F.col("_c") + 1).cast("long").alias("department_id"), F.col("p_brand").alias("department")
-    )
+def departments(spark: SparkSession, sf_dir: str, codes: DataFrame | None = None) -> DataFrame:
+    return ids(code_tables(spark, sf_dir) if codes is None else codes, "p_brand", "department_id", "department")
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five raw tables with all their columns."""
     full_orders = orders(spark, sf_dir, numbered=True).drop("order_date")
+    codes = code_tables(spark, sf_dir)
     return {
         "orders": full_orders,
-        "order_products": order_products(spark, sf_dir, reordered=True),
-        "products": products(spark, sf_dir),
-        "aisles": aisles(spark, sf_dir),
-        "departments": departments(spark, sf_dir),
+        "order_products": order_products(spark, sf_dir, True),
+        "products": products(spark, sf_dir, codes),
+        "aisles": aisles(spark, sf_dir, codes),
+        "departments": departments(spark, sf_dir, codes),
     }
 
 
@@ -112,10 +122,9 @@ def sales(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame
     Keys of the test tables are complete, so a skipped dimension join drops no row.
     """
     columns = list(columns)
-    numbered = bool({"order_number", "days_since_prior_order"} & set(columns))
-    head = orders(spark, sf_dir, numbered).filter(F.col("eval_set") == "prior")
-    lines = order_products(spark, sf_dir, reordered="reordered" in columns)
-    out = lines.join(head, "order_id")
+    heads = [c for c in columns if c in ORDER_HEAD]
+    lines = order_products(spark, sf_dir, "reordered" in columns, "eval_set", *heads)
+    out = lines.filter(F.col("eval_set") == "prior")
     names = {"product_name": "p_name", "aisle": "p_type", "department": "p_brand"}
     wanted = [c for c in columns if c in names]
     if wanted:
@@ -142,14 +151,11 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    user = F.col("user_id")
     return customer.join(nation, "n_nationkey").select(
         "user_id",
         F.col("n_nationkey").cast("string").alias("pin_code"),
         F.col("n_name").alias("city"),
         F.col("r_name").alias("store_id"),
-        pick_by_share(mixed_hash(user, INCOME_SHARES_SALT), INCOME_SHARES).alias("income_bucket"),
-        pick_by_share(mixed_hash(user, AGE_SHARES_SALT), AGE_SHARES).alias("age_group"),
     )
 
 
@@ -168,37 +174,5 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_spine(table(spark, sf_dir, "orders"), F.col("o_orderdate").cast("date"))
 
 
-def weather_values(days: DataFrame) -> DataFrame:
-    """Weather of a day by integer arithmetic on the day of the year, with some gaps."""
-    doy = F.dayofyear("date")
-    return days.select(
-        "date",
-        F.when(doy % 150 != 0, F.lit(15) + (doy * 7) % 21).cast("double").alias("temp_max"),
-        F.when(doy % 100 != 0, F.greatest(F.lit(0), (doy * 13) % 23 - 8)).cast("double").alias("precipitation"),
-        (doy % 4).cast("int").alias("weathercode"),
-    )
-
-
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_weather_bins(weather_values(order_days(spark, sf_dir)))
-
-
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_calendar(order_days(spark, sf_dir), CALENDAR)
-
-
-def land_weather_json(spark: SparkSession, sf_dir: str, path: str) -> str:
-    """Write the weather as landed JSON, one object of parallel arrays per month."""
-    month = (
-        weather_values(order_days(spark, sf_dir))
-        .groupBy(F.trunc("date", "month").alias("m"))
-        .agg(F.sort_array(F.collect_list(F.struct("date", "temp_max", "precipitation", "weathercode"))).alias("d"))
-    )
-    daily = F.struct(
-        F.transform("d", lambda x: x["date"].cast("string")).alias("time"),
-        F.col("d.temp_max").alias("temperature_2m_max"),
-        F.col("d.precipitation").alias("precipitation_sum"),
-        F.col("d.weathercode").alias("weathercode"),
-    )
-    month.select(daily.alias("daily")).write.mode("overwrite").option("ignoreNullFields", False).json(path)
-    return path

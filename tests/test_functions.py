@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockweave.functions import ordering, quantiles, scalars
-from stockweave.params import AGE_SHARES, CalendarParams, FusionParams
+from stockweave.params import CalendarParams, FusionParams
 
 
 def test_bins_are_right_closed(spark, rows):
@@ -68,8 +68,9 @@ def test_default_calendar(spark):
 
 def test_shares_and_spread(spark):
     ids = spark.range(40_000).withColumn("h", scalars.mixed_hash(F.col("id"), 3))
-    got = dict(ids.groupBy(scalars.pick_by_share(F.col("h"), AGE_SHARES)).count().collect())
-    for label, share in AGE_SHARES:
+    shares = (("low", 35), ("mid", 45), ("high", 20))
+    got = dict(ids.groupBy(scalars.pick_by_share(F.col("h"), shares)).count().collect())
+    for label, share in shares:
         assert abs(got[label] / 400 - share) < 2
     assert ids.select("h").distinct().count() > 39_900
     low, high = ids.agg(F.min("h"), F.max("h")).first()
@@ -124,7 +125,7 @@ def test_capped_by_hash(spark, parts):
 def test_ordered_codes(spark):
     words = [f"{a}{b}" for a in "xyabc" for b in range(90)] + ["store_a", "store_b", None]
     df = spark.createDataFrame([(w,) for w in words * 2], "w string").repartition(5)
-    got = {r.w: r.code for r in ordering.ordered_codes(df, "w", "code", splitters=8).collect()}
+    got = {r.w: r.code for r in ordering.ordered_codes(df, "w", "code").collect()}
     want = {w: i for i, w in enumerate(sorted(words, key=lambda w: (w is not None, w or "")))}
     assert got == want
 
@@ -152,3 +153,22 @@ def test_exact_quantiles_of_few_rows(spark, n):
     probs = [0.1, 0.25, 0.35, 0.5, 0.75, 0.9]
     got = {r.probability: r.value for r in quantiles.exact_quantiles(df, ["x"], probs, 100).collect()}
     assert [got[p] for p in probs] == pytest.approx(list(np.quantile(x, probs)))
+
+
+def test_value_codes_of_two_columns(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", None), ("b", "y"), ("c", "x")], "p string, q string")
+    got = {(r["column"], r["value"]): r.code for r in ordering.value_codes(df, ["p", "q"]).collect()}
+    assert got == {("p", "a"): 0, ("p", "b"): 1, ("p", "c"): 2, ("q", None): 0, ("q", "x"): 1, ("q", "y"): 2}
+
+
+@pytest.mark.parametrize("block", [None, "a"])
+def test_daily_positions_in_blocks(spark, block):
+    rng = random.Random(4)
+    days = [date(2020, 1, 1 + min(int(rng.expovariate(0.8)), 5)) for _ in range(300)]
+    data = [(d, f"s{rng.randrange(3)}", i) for i, d in enumerate(days)]
+    df = spark.createDataFrame(data, "d date, a string, b long").repartition(7)
+    got = ordering.daily_positions(df, [], "d", ["a", "b"], block).orderBy("position").collect()
+    want = sorted(data)
+    assert [(r.d, r.a, r.b) for r in got] == want
+    assert [r.position for r in got] == list(range(1, 301))
+    assert [r.prior_day for r in got] == [None, *[w[0] for w in want[:-1]]]

@@ -2,6 +2,8 @@
 
 from datetime import date, datetime
 
+from registry import weather_input
+from stockweave.operators import demographics
 from stockweave.params import ForecastParams, MiningParams, SegmentParams, TimelineParams
 from stockweave.plans import jobs
 from stockweave.sources import adapter, raw
@@ -13,9 +15,13 @@ def test_jobs_end_to_end(spark, tmp_path):
     tables = adapter.raw_tables(spark, SF_DIR)
     for name, file in raw.RAW_FILES.items():
         raw.write_csv(tables[name], str(tmp_path / "raw" / file))
-    weather = adapter.land_weather_json(spark, SF_DIR, str(tmp_path / "weather"))
+    first = demographics.first_order_days(adapter.orders(spark, SF_DIR))
+    users = adapter.demographics(spark, SF_DIR).join(first, "user_id")
+    raw.write_csv(users.select("user_id", "pin_code", "city", "store_id", "first_order_date"), str(tmp_path / "raw" / "users.csv"))
+    days = weather_input.weather_values(adapter.order_days(spark, SF_DIR))
+    weather = weather_input.land_json(days, str(tmp_path / "weather"))
     s = jobs.Settings(
-        timeline=TimelineParams(anchor=date(1996, 1, 1), last_day=date(1998, 12, 31)),
+        timeline=TimelineParams(anchor=date(1995, 1, 1), last_day=date(2001, 8, 1)),
         mining=MiningParams(min_orders=10, min_support=0.1, max_len=2),
         segments=SegmentParams(k_values=(3,), restarts=1, sweep_restarts=1, max_iter=5, eps=2.5),
         forecast=ForecastParams(top_skus=6, rounds=2, depth=3),
@@ -28,10 +34,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     users = master.select("user_id").distinct().count()
     assert store.read("feat_rfm").count() == users and len(store.read("feat_rfm").columns) == 11
     features = store.read("feature_store")
-    assert features.count() == users and len(features.columns) == 21
+    assert features.count() == users and len(features.columns) == 19
     assert store.read("order_context").count() == master.select("order_id").distinct().count()
     assert store.read("seg_labels").count() == users
-    assert store.read("events").count() == 1096
+    assert store.read("events").count() == 2405
     forecasts = store.read("forecasts")
     assert set(forecasts.columns) == {
         "order_date", "store_id", "product_name", "units_sold", "forecast_units", "model_type", "mape",

@@ -2,10 +2,12 @@
 
 import itertools
 import random
+from dataclasses import replace
 from datetime import date, datetime
 
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import functions as F
 
 from stockweave.operators import (
@@ -22,7 +24,7 @@ from stockweave.operators import (
     rules,
     segments,
 )
-from stockweave.params import ForecastParams, FusionParams, MiningParams, SegmentParams, TimelineParams
+from stockweave.params import ForecastParams, FusionParams, MiningParams, SegmentParams
 from stockweave.sources import raw, weather
 
 
@@ -39,6 +41,21 @@ def test_csv_by_name_and_missing_file(spark, tmp_path):
         raw.read_csv(spark, str(tmp_path / "a.csv"), "eval_set string")
 
 
+def test_csv_folder_with_another_header_fails(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("user_id,order_id\n100,1\n")
+    (folder / "b.csv").write_text("order_id,user_id\n2,200\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.read_csv(spark, str(folder), "order_id long, user_id long").collect()
+
+
+def test_csv_nan_is_null(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("order_id,days_since_prior_order\n1,NaN\n2,\n3,4.5\n")
+    rows = raw.read_csv(spark, str(tmp_path / "n.csv"), "order_id long, days_since_prior_order double").collect()
+    assert sorted((r.order_id, r.days_since_prior_order) for r in rows) == [(1, None), (2, None), (3, 4.5)]
+
+
 def test_weather_json(spark, tmp_path):
     (tmp_path / "w.json").write_text(
         '{"daily": {"time": ["2013-01-01", "2013-01-02"], "temperature_2m_max": [31.5, null],'
@@ -96,11 +113,11 @@ def test_user_rfm(raw_tables):
 
 def test_order_dates_follow_gaps_and_are_capped(raw_tables):
     m = master.build_master(**raw_tables)
-    d = {r.order_id: r.order_date for r in features.assign_order_dates(m).collect()}
-    assert (d[2] - d[1]).days == 7 and (d[3] - d[2]).days == 5
-    assert date(2013, 1, 1) <= d[4] <= date(2013, 12, 31)
-    capped = features.assign_order_dates(m, TimelineParams(last_day=date(2013, 1, 1)))
-    assert {r.order_date for r in capped.collect()} == {date(2013, 1, 1)}
+    first = m.sparkSession.createDataFrame([(10, date(2013, 5, 1))], "user_id long, first_order_date date")
+    d = {r.order_id: r.order_date for r in features.assign_order_dates(m, first).collect()}
+    assert d == {1: date(2013, 5, 1), 2: date(2013, 5, 8), 3: date(2013, 5, 13), 4: None}
+    capped = features.assign_order_dates(m, first, date(2013, 5, 2)).filter("user_id = 10")
+    assert {r.order_date for r in capped.collect()} == {date(2013, 5, 1), date(2013, 5, 2)}
 
 
 def test_rain_null_counts_in_denominator(spark):
@@ -113,14 +130,10 @@ def test_rain_null_counts_in_denominator(spark):
 
 
 def test_store_assignment(spark):
-    orders = spark.range(6000).select((F.col("id") % 3000).alias("user_id"))
-    one, two = (demographics.assign_stores(orders.repartition(n)).orderBy("user_id").collect() for n in (1, 17))
-    assert one == two and len(one) == 3000
-    stores = {}
-    for r in one:
-        stores[r.store_id] = stores.get(r.store_id, 0) + 1
-        assert demographics.PIN_CODES[r.pin_code] == (r.city, r.store_id)
-    assert len(stores) == 6 and all(abs(n / 30 - 100 / 6) < 2 for n in stores.values())
+    orders = spark.createDataFrame([(1,), (1,), (2,)], "user_id long")
+    areas = spark.createDataFrame([(1, "p", "c", "s"), (9, "q", "d", "t")], "user_id long, pin_code string, city string, store_id string")
+    got = {tuple(r) for r in demographics.assign_stores(orders, areas).collect()}
+    assert got == {(1, "p", "c", "s"), (2, None, None, None)}
 
 
 # ---- profile ---------------------------------------------------------------
@@ -179,6 +192,17 @@ def test_spine_is_gap_free(spark):
     assert spine.agg(F.sum("units_sold")).first()[0] == sum(u for _, _, p, u in data if p in kept)
 
 
+def test_spine_covers_what_occurs_over_several_tasks(spark):
+    daily, data = _daily(spark)
+    daily = daily.filter("store_id = 's1' OR product_name <> 'c'")
+    spine = demand.demand_spine(daily)
+    series = {(r.store_id, r.product_name) for r in spine.select("store_id", "product_name").distinct().collect()}
+    assert series == {("s1", "a"), ("s1", "b"), ("s1", "c"), ("s2", "a"), ("s2", "b")}
+    plan = spine._jdf.queryExecution().executedPlan().toString()
+    days, spread = plan.index("Generate explode"), plan.index("REPARTITION_BY_NUM")
+    assert days < spread and "hashpartitioning(product_name" in plan[plan.rindex("Exchange", 0, spread) : spread]
+
+
 def test_lags_and_rolling(spark):
     daily, _ = _daily(spark)
     spine = demand.demand_spine(daily, 3)
@@ -233,7 +257,7 @@ def test_boosted_trees_learn_and_explain(spark):
             x = rng.randrange(0, 8)
             data.append((date.fromordinal(737425 + d), "s", p, 1 + 2 * x, x, rng.random()))
     df = spark.createDataFrame(data, "order_date date, store_id string, product_name string, units_sold long, lag_7d long, noise double")
-    p = ForecastParams(rounds=15, step=0.3, depth=3, min_leaf_rows=1, features=("lag_7d", "noise"))
+    p = ForecastParams(rounds=40, step=0.3, depth=2, min_leaf_rows=1, features=("lag_7d", "noise"))
     fit = forecast.fit_boosted(df, p)
     acc = fit.accuracy.first()
     assert acc.mape < 10 < acc.naive_mape and acc.improvement_pct > 50
@@ -242,6 +266,22 @@ def test_boosted_trees_learn_and_explain(spark):
     assert out.filter("forecast_units < 0").count() == 0
     first = forecast.feature_importance(fit, p).first()
     assert first.feature == "lag_7d" and first.mape_increase > 10
+    report = forecast.fold_report(fit).orderBy("test_fold").collect()
+    assert [r.test_fold for r in report] == [1, 2, 3, 4, 5] and all(r.improvement_pct > 0 for r in report)
+    one = forecast.fit_boosted(df, replace(p, rounds=1))
+    assert len(fit.model.trees) > 1 and acc.mape < one.accuracy.first().mape
+
+
+def test_rounds_stop_under_patience(spark):
+    assert forecast.best_round([5, 4, 3, 3, 3], 2) == 3
+    assert forecast.best_round([5, 4, 6, 6, 1], 2) == 2 and forecast.best_round([5, 4, 6, 6, 1], 4) == 5
+    rng = random.Random(3)
+    data = [(float(rng.randrange(6)), rng.random()) for _ in range(300)]
+    df = spark.createDataFrame([(x, 3 * x + rng.gauss(0, 2)) for x, _ in data], "x double, units_sold double")
+    rows = forecast.VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    p = ForecastParams(rounds=60, patience=5, step=0.5, depth=2, min_leaf_rows=1)
+    model = forecast.fit_stopped(rows.limit(200), rows.subtract(rows.limit(200)), p)
+    assert 1 < len(model.trees) < 60
 
 
 # ---- baskets and rules -----------------------------------------------------
@@ -408,13 +448,14 @@ def test_silhouette_and_davies_bouldin(spark):
         a = d[i][label == label[i]].sum() / (own - 1)
         b = min(d[i][label == c].mean() for c in set(label) - {label[i]})
         s.append((b - a) / max(a, b))
-    got = segments.silhouettes(df, cols, ["cluster_id"], "user_id", block=40).first().silhouette
+    got = segments.sampled_silhouettes(df, cols, ["cluster_id"], "user_id", block=40).first().silhouette
     assert got == pytest.approx(np.mean(s))
     cent = np.array([x[label == c].mean(0) for c in range(3)])
     spread = [np.sqrt(((x[label == c] - cent[c]) ** 2).sum(1)).mean() for c in range(3)]
     worst = [max((spread[i] + spread[j]) / np.linalg.norm(cent[i] - cent[j]) for j in range(3) if j != i) for i in range(3)]
     assert segments.davies_bouldin(df, cols, "cluster_id").first()[0] == pytest.approx(np.mean(worst))
-    assert segments.silhouette(df, cols, "cluster_id", "user_id", mode="squared").first()[0] > 0
+    by_square = ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id").evaluate(segments.with_vector(df, cols))
+    assert segments.silhouette(df, cols, "cluster_id").first()[0] == pytest.approx(by_square)
 
 
 def _noise(x, eps, k):

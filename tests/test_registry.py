@@ -45,5 +45,6 @@ def test_contract():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     unchecked = set(entry.queries()) - set(entry.OPTIONAL) - set(entry.oracle_sql())
     assert unchecked == {
-        "kmeans_segments", "k_selection", "segment_labels", "pca_projection", "gbt_forecast", "feature_importance",
+        "kmeans_segments", "k_selection", "segment_labels", "pca_projection", "gbt_forecast",
+        "gbt_fold_report", "feature_importance",
     }
