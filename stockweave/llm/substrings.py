@@ -276,7 +276,9 @@ def repeated_windows(members: list[tuple]) -> list[tuple[int, int, int]]:
 
 def sorted_edges(edge_cells: DataFrame, params: SubstringParams) -> DataFrame:
     """Repeated windows of the edge cells; all cells of a core meet in one task, at most ``members``."""
-    ordered = edge_cells.repartition("key").sortWithinPartitions("key", "row", "low")
+    # A stated number of tasks: the cells are few bytes, sorting their suffixes is the work.
+    tasks = int(edge_cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = edge_cells.repartition(tasks, "key").sortWithinPartitions("key", "row", "low")
 
     def run(batches):
         held, symbols = [], 0
