@@ -129,42 +129,3 @@ def scan_licenses(
     return map_batches(
         rows, scan, f"doc_id {kind}, n_units long, licenses string, best_license string, best_dice double"
     )
-
-
-def quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def license_sql(templates: dict[str, str] = TEMPLATES, threshold: float = 0.8) -> str:
-    """The same for DuckDB."""
-    values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in sorted(templates.items()))
-    words = (
-        "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
-        "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-    )
-    return f"""
-WITH rows AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
-split AS (SELECT r, string_split(text, chr(10)) AS lines FROM rows WHERE text IS NOT NULL AND text <> ''),
-units AS (
-  SELECT r, unnest(range(len(lines))) AS u, unnest(lines) AS t FROM split
-  UNION ALL SELECT r, -1, array_to_string(lines, chr(10)) FROM split WHERE len(lines) > 1),
-unit_words AS (SELECT r, u, {words.format('t')} AS w FROM units),
-unit_grams AS (
-  SELECT r, u, a, g, count(*) AS n FROM (
-    SELECT r, u, len(w) - 1 AS a, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-    FROM unit_words WHERE len(w) > 1) GROUP BY ALL),
-template_words AS (SELECT name, {words.format('t')} AS w FROM (VALUES {values}) v(name, t)),
-template_grams AS (
-  SELECT name, b, g, count(*) AS n FROM (
-    SELECT name, len(w) - 1 AS b, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-    FROM template_words) GROUP BY ALL),
-scored AS (
-  SELECT r, u, name, 2 * sum(least(x.n, y.n))::DOUBLE / (any_value(a) + any_value(b)) AS dice
-  FROM unit_grams x JOIN template_grams y USING (g) GROUP BY r, u, name),
-hits AS (SELECT * FROM scored WHERE dice >= {threshold}),
-best AS (
-  SELECT r, count(DISTINCT u) AS n_units, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses,
-    max(dice) AS best_dice FROM hits GROUP BY r),
-named AS (SELECT b.r, min(h.name) AS best_license FROM best b JOIN hits h ON h.r = b.r AND h.dice = b.best_dice GROUP BY b.r)
-SELECT doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(licenses, '') AS licenses, best_license, best_dice
-FROM rows LEFT JOIN best USING (r) LEFT JOIN named USING (r)"""

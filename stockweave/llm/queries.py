@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import decontaminate, language, licenses, neighbours, packing, secrets, sentences, sharding, simhash, substrings
+from stockweave.llm import decontaminate, language, licenses, neighbours, packing, secrets, sentences, sharding, simhash, sql, substrings
 from stockweave.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,14 +15,14 @@ REGISTRY: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, twin: str | None = None):
     def keep(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(prepare(spark), sf_dir)
 
         REGISTRY[name] = run
-        if sql:
-            ORACLE[name] = sql
+        if twin:
+            ORACLE[name] = twin
         return fn
 
     return keep
@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_licenses", licenses.license_sql())
+@query("op1_licenses", sql.license_sql())
 def _(spark, d):
     return licenses.scan_licenses(table(spark, d, "documents"))
 
@@ -42,12 +42,12 @@ def _(spark, d):
     return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-@query("op3_decontamination")
+@query("op3_decontamination", sql.contamination_sql())
 def _(spark, d):
     return decontaminate.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
-@query("op4_sentences")
+@query("op4_sentences", sql.sentence_sql())
 def _(spark, d):
     return sentences.dedup_sentences(table(spark, d, "documents"))
 
@@ -72,7 +72,7 @@ def _(spark, d):
     return packing.pack_documents(table(spark, d, "documents"))
 
 
-@query("op9_secrets")
+@query("op9_secrets", sql.secret_sql())
 def _(spark, d):
     return secrets.scan_secrets(table(spark, d, "documents"))
 
