@@ -25,7 +25,9 @@ class LanguageParams:
     """``dictionary_bytes`` of each language are learned from at most ``sample_rows`` labelled texts,
     at most ``sample_chars`` characters of each: the bounds of the training sample. A language needs
     no least number of texts. ``margin``: share of its bytes by which the runner-up must be longer.
-    Texts whose lead is below ``close`` are compressed again at ``close_level``, which tells finer."""
+    Texts whose lead is below ``close`` are compressed again at ``close_level``, behind each of a few
+    ``primers`` cut from the dictionary: a block that compresses anyway shows what the text adds, also
+    where a short text alone would be stored as it is."""
 
     dictionary_bytes: int = 64 << 10
     sample_rows: int = 400
@@ -34,6 +36,8 @@ class LanguageParams:
     margin: float = 0.002
     close: float = 0.04
     close_level: int = 12
+    primers: int = 4
+    primer_bytes: int = 256
 
 
 def normalised(text: str) -> bytes:
@@ -76,7 +80,7 @@ def predictor(dictionaries: dict[str, bytes], params: LanguageParams):
     """``predict(text) -> (lang, score, rejected)``; compressors are made once in every worker."""
     made: dict = {}
 
-    def sizes(data, level):
+    def compressors(level):
         import zstandard
 
         if level not in made:
@@ -87,20 +91,36 @@ def predictor(dictionaries: dict[str, bytes], params: LanguageParams):
                 made[level][lang] = zstandard.ZstdCompressor(
                     level=level, dict_data=content, write_checksum=False, write_content_size=False, write_dict_id=False
                 )
-        return sorted((len(c.compress(data)), lang) for lang, c in made[level].items())
+        return made[level].items()
+
+    def sizes(data):
+        return sorted((len(c.compress(data)), lang) for lang, c in compressors(params.level))
+
+    def closer_sizes(data):
+        """Mean bytes that the text adds to a primer."""
+        out = []
+        for lang, c in compressors(params.close_level):
+            known = dictionaries[lang]
+            step = max(1, len(known) // params.primers)
+            primers = [known[i : i + params.primer_bytes] for i in range(0, len(known), step)]
+            if ("alone", lang) not in made:
+                made["alone", lang] = [len(c.compress(p)) for p in primers]
+            added = [len(c.compress(p + b" " + data)) - n for p, n in zip(primers, made["alone", lang])]
+            out.append((sum(added) / len(added), lang))
+        return sorted(out)
 
     def predict(text):
         data = normalised(text) if text else b""
         if not data or not dictionaries or not any(c.isalpha() for c in data.decode()):
             return UNDETERMINED, 0.0, True
-        ranked = sizes(data, params.level)
+        ranked = sizes(data)
         if len(ranked) == 1:
             return ranked[0][1], 1.0, False
         if ranked[1][0] - ranked[0][0] < params.close * ranked[0][0]:
-            ranked = sizes(data, params.close_level)
+            ranked = closer_sizes(data)
         best, lang = ranked[0]
         lead = ranked[1][0] - best
-        # One byte less is eight bits: the odds against the runner-up, flattened.
+        # The odds against the runner-up, a byte of lead doubling them.
         return lang, 1.0 / (1.0 + 2.0 ** -min(lead, 60)), lead == 0 or lead < params.margin * best
 
     return predict
