@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from registry.scratch import local_scratch
 from stockweave.llm.common import prepare
 from stockweave.llm.decontaminate import drop_contaminated
 from stockweave.llm.language import keep_identified
 from stockweave.llm.packing import pack_documents
 from stockweave.llm.secrets import redact_secrets
 from stockweave.llm.simhash import keep_one_of_each
-from stockweave.session import materialize
+from stockweave.session import materialize, tune
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +39,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    return prepare(local_scratch(tune(spark)))
+
+
 def staged(stage):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return stage(prepare(spark), docs, sf_dir)
+        return stage(ready(spark), docs, sf_dir)
 
     return run_stage
 
@@ -58,6 +63,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packing of what the stages keep, each stage written and read back."""
+    ready(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage_{name}")
