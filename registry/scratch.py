@@ -13,7 +13,8 @@ from stockweave.session import SCRATCH_KEY, scratch_base
 
 def local_scratch(spark: SparkSession) -> SparkSession:
     """Name a folder of this machine, removed at exit, if the session is local and names none."""
-    if not scratch_base(spark) and spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if not scratch_base(spark) and (master == "local" or master.startswith("local[")):
         folder = tempfile.mkdtemp(prefix="stockweave-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set(SCRATCH_KEY, folder)

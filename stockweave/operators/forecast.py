@@ -161,7 +161,7 @@ def fit_stopped(train: DataFrame, validation: DataFrame, p: ForecastParams) -> M
     """
     if validation.isEmpty():
         return boosted_trees(p, p.rounds).fit(train)
-    rounds = min(p.rounds, 2 * p.patience)
+    rounds = min(p.rounds, p.patience + p.patience // 3)
     while True:
         model = boosted_trees(p, rounds).fit(train)
         best = best_round(model.evaluateEachIteration(validation, "squared"), p.patience)

@@ -36,7 +36,7 @@ from stockweave.params import (
     SegmentParams,
     TimelineParams,
 )
-from stockweave.session import materialize, tune
+from stockweave.session import materialize, scratch_scope, tune
 from stockweave.sources import raw, weather
 
 
@@ -144,15 +144,16 @@ def fuse(store: Store, s: Settings = Settings()) -> None:
 def run_all(spark: SparkSession, raw_dir: str, landed_weather: str, folder: str, s: Settings = Settings()) -> DataFrame:
     """All jobs in order; returns the ranked replenishment list."""
     store = Store(tune(spark), folder)
-    ingest(store, raw_dir, s)
-    assign_users(store, raw_dir, s)
-    land_weather(store, landed_weather, s)
-    build_calendar(store, s)
-    build_features(store, raw_dir, s)
-    segment_users(store, s)
-    mine_rules(store, s)
-    forecast_demand(store, s)
-    fuse(store, s)
+    with scratch_scope(spark):
+        ingest(store, raw_dir, s)
+        assign_users(store, raw_dir, s)
+        land_weather(store, landed_weather, s)
+        build_calendar(store, s)
+        build_features(store, raw_dir, s)
+        segment_users(store, s)
+        mine_rules(store, s)
+        forecast_demand(store, s)
+        fuse(store, s)
     return fusion.ranked(store.read("action_list").select(*s.fusion.columns))
 
 

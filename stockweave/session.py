@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,8 @@ RUNTIME_SETTINGS = {
 
 #: Names the scratch folder where the cluster sets no ``spark.checkpoint.dir``.
 SCRATCH_KEY = "stockweave.scratch.dir"
+#: Set by ``scratch_scope`` while a run is on.
+SCOPE_KEY = "stockweave.scratch.run"
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -51,13 +54,29 @@ def scratch_base(spark: SparkSession) -> str | None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch folder; raises where nobody named one."""
-    base = scratch_base(spark)
+    """A fresh path below the scratch folder, or the folder of the scope that is open; raises where
+    nobody named one."""
+    base = spark.conf.get(SCOPE_KEY, None) or scratch_base(spark)
     if not base:
         raise ValueError(f"spark.checkpoint.dir (or {SCRATCH_KEY}) must name a folder all executors share")
     return f"{base.rstrip('/')}/stockweave/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """All intermediate tables written inside go to one folder, which is removed at the end: sinks
+    must have run by then."""
+    outer = spark.conf.get(SCOPE_KEY, None)
+    folder = scratch_path(spark, "run")
+    spark.conf.set(SCOPE_KEY, folder)
+    try:
+        yield folder
+    finally:
+        spark.conf.set(SCOPE_KEY, outer) if outer else spark.conf.unset(SCOPE_KEY)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -49,6 +49,23 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert all(r.reorder_qty == max(r.forecast_units - r.current_stock, 0) for r in rows)
 
 
+def test_a_scope_removes_what_was_written(spark):
+    import os
+
+    import pytest
+
+    from stockweave.session import SCOPE_KEY, materialize, scratch_scope
+
+    with scratch_scope(spark) as folder:
+        assert materialize(spark.range(3), "three").count() == 3
+        assert os.listdir(f"{folder}/stockweave")
+    assert not os.path.exists(folder) and spark.conf.get(SCOPE_KEY, None) is None
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark) as folder:
+        materialize(spark.range(1), "one")
+        raise ZeroDivisionError
+    assert not os.path.exists(folder)
+
+
 def test_naive_forecast_job(spark):
     from stockweave.operators import demand, forecast
 
