@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockweave.session import materialize
+
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value double) without nulls and NaN."""
@@ -19,80 +21,52 @@ def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     )
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     """Rows (feature, probability, value): exact quantiles, linear interpolation.
 
-    A sketch with a known rank error brackets each wanted rank; everything below the bracket is
-    only counted, equal values are counted together before the shuffle, and only the values
-    inside the bracket (a few 1/accuracy of the rows) are ranked. If a bracket should miss its
-    rank the job fails instead of returning a wrong value.
+    Equal values are counted together before the shuffle; the counts are range-partitioned by value,
+    in as many partitions as they fill, and written. One sum per partition and feature tells in which
+    partitions the wanted ranks lie, and only the values of those are ranked, one partition a task.
     """
-    long = long_values(df, columns)
-    slack = 4.0 / accuracy
-    probs = [float(p) for p in probabilities]
-    lows = F.array(*[F.lit(max(p - slack, 0.0)) for p in probs])
-    highs = F.array(*[F.lit(min(p + slack, 1.0)) for p in probs])
-    few = F.col("n") <= 10 * accuracy  # a bracket of few ranks is not worth the risk: rank all
-    brackets = (  # columns x probabilities rows
-        long.groupBy("feature")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("value", lows, accuracy).alias("lo"),
-            F.percentile_approx("value", highs, accuracy).alias("hi"),
-            F.min("value").alias("mn"),
-            F.max("value").alias("mx"),
-        )
-        .select(
-            "feature",
-            "n",
-            "mn",
-            "mx",
-            F.explode(
-                F.arrays_zip(F.array(*[F.lit(p) for p in probs]).alias("p"), F.col("lo"), F.col("hi"))
-            ).alias("b"),
-        )
-        .select(
-            "feature",
-            F.col("b.p").alias("probability"),
-            ((F.col("n") - 1) * F.col("b.p")).alias("_rank"),
-            F.when(few | (F.col("b.p") <= slack), F.col("mn")).otherwise(F.col("b.lo")).alias("_lo"),
-            F.when(few | (F.col("b.p") >= 1 - slack), F.col("mx")).otherwise(F.col("b.hi")).alias("_hi"),
-        )
+    counts = long_values(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n"))
+    written = materialize(
+        counts.repartitionByRange("feature", "value").withColumn("_part", F.spark_partition_id()), "value_counts"
     )
-    key = ["feature", "probability"]
-    counted = (
-        long.join(F.broadcast(brackets), "feature")
-        .filter(F.col("value") <= F.col("_hi"))
-        .withColumn("_v", F.when(F.col("value") >= F.col("_lo"), F.col("value")))
-        .groupBy(*key, "_rank", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    by_part = Window.partitionBy("feature").orderBy("_part")
+    upto = by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (
+        written.groupBy("feature", "_part")
+        .agg(F.sum("_n").alias("_own"))
+        .withColumn("_end", F.sum("_own").over(upto))
+        .withColumn("_total", F.sum("_own").over(Window.partitionBy("feature")))
+        .select("feature", "_part", "_end", (F.col("_end") - F.col("_own")).alias("_before"), "_total",
+                F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"))
+        .withColumn("_rank", (F.col("_total") - 1) * F.col("probability"))
     )
-    upto = (
-        Window.partitionBy(*key)
-        .orderBy(F.col("_v").asc_nulls_first())
+    low, high = F.floor("_rank"), F.ceil("_rank")
+    holds = [(F.col("_before") <= r) & (r < F.col("_end")) for r in (low, high)]
+    # At most two partitions per feature and probability.
+    wanted = placed.filter(holds[0] | holds[1]).select("feature", "_part", "_before", "probability", "_rank")
+    inside = (
+        Window.partitionBy("feature", "probability", "_part")
+        .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = counted.withColumn("_end", F.sum("_n").over(upto)).withColumn(
-        "_start", F.col("_end") - F.col("_n")
+    ranked = (
+        written.join(F.broadcast(wanted), ["feature", "_part"])
+        .withColumn("_stop", F.col("_before") + F.sum("_n").over(inside))
+        .withColumn("_start", F.col("_stop") - F.col("_n"))
     )
 
     def at(position):
-        return F.max(F.when((F.col("_start") <= position) & (position < F.col("_end")), F.col("_v")))
+        return F.max(F.when((F.col("_start") <= position) & (position < F.col("_stop")), F.col("value")))
 
-    low, high = F.floor("_rank"), F.ceil("_rank")
     return (
-        ranked.groupBy(*key, "_rank")
+        ranked.groupBy("feature", "probability", "_rank")
         .agg(at(low).alias("_a"), at(high).alias("_b"))
         .select(
-            *key,
-            F.when(
-                F.col("_a").isNotNull() & F.col("_b").isNotNull(),
-                F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - low),
-            )
-            .otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-            .alias("value"),
+            "feature", "probability",
+            (F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_rank") - low)).alias("value"),
         )
     )
 

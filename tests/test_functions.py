@@ -139,7 +139,7 @@ def test_exact_quantiles(spark):
         [(float(x), None if i % 10 == 0 else float(y)) for i, (x, y) in enumerate(zip(a, b))], "a double, b double"
     ).repartition(7)
     probs = [0.0, 0.1, 0.35, 0.5, 0.75, 1.0]
-    got = {(r.feature, r.probability): r.value for r in quantiles.exact_quantiles(df, ["a", "b"], probs, 1000).collect()}
+    got = {(r.feature, r.probability): r.value for r in quantiles.exact_quantiles(df, ["a", "b"], probs).collect()}
     kept = np.array([y for i, y in enumerate(b) if i % 10])
     for p in probs:
         assert got["a", p] == pytest.approx(np.quantile(a, p), rel=1e-12)
@@ -151,7 +151,7 @@ def test_exact_quantiles_of_few_rows(spark, n):
     x = np.random.default_rng(n).random(n)
     df = spark.createDataFrame([(float(v),) for v in x], "x double")
     probs = [0.1, 0.25, 0.35, 0.5, 0.75, 0.9]
-    got = {r.probability: r.value for r in quantiles.exact_quantiles(df, ["x"], probs, 100).collect()}
+    got = {r.probability: r.value for r in quantiles.exact_quantiles(df, ["x"], probs).collect()}
     assert [got[p] for p in probs] == pytest.approx(list(np.quantile(x, probs)))
 
 
