@@ -204,11 +204,14 @@ def links(prints: DataFrame, params: SimHashParams) -> DataFrame:
     """Links (a, b) that connect just what links of at most ``radius`` bits connect."""
     tiles = make_tiles(prints, params)
     bodies = tiles.select("tile", "body")
+    # A stated number of tasks: a pair is few bytes and much work, so sizes would merge too many.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = (
         tile_pairs(tiles, params.radius)
         .join(bodies.select(F.col("tile").alias("a"), F.col("body").alias("first")), "a")
         .join(bodies.select(F.col("tile").alias("b"), F.col("body").alias("second")), "b")
         .select("a", "b", "first", "second")
+        .repartition(tasks, "a", "b")
     )
 
     def compare(batches):
