@@ -55,18 +55,23 @@ def held_out(column: str = "doc_id"):
 def learn_dictionaries(docs: DataFrame, params: LanguageParams = LanguageParams()) -> dict[str, bytes]:
     """Dictionary of every non-null ``lang`` of ``docs`` (text, lang), from a fixed sample.
 
-    The sample takes the rows of smallest text hash, so it does not depend on order or partitions.
-    It and the result are bounded by languages x ``sample_rows`` x ``sample_chars``.
+    The sample takes the different texts of smallest hash, so it does not depend on order, partitions
+    or copies. It and the result are bounded by languages x ``sample_rows`` x ``sample_chars``.
     """
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "lang", F.substring("text", 1, params.sample_chars).alias("text"), F.xxhash64("text").alias("rank")
+        "lang", F.xxhash64("text").alias("rank"), "text"
     )
-    # First within parts of a language, so that a language with most of the rows is no single task.
-    parts = rows.withColumn("part", F.pmod(F.xxhash64("rank", "text"), F.lit(SAMPLE_PARTS)))
+    # Copies count once. First within parts of a language, so that one with most rows is no single task.
+    chosen = rows.select("lang", "rank").distinct().withColumn("part", F.pmod("rank", F.lit(SAMPLE_PARTS)))
     for keys in (["lang", "part"], ["lang"]):
-        order = W.partitionBy(*keys).orderBy("rank", "text")
-        parts = parts.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= params.sample_rows)
-    sample = parts.select("lang", "text", "n").collect()
+        order = W.partitionBy(*keys).orderBy("rank")
+        chosen = chosen.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= params.sample_rows)
+    sample = (
+        rows.join(F.broadcast(chosen.select("lang", "rank", "n")), ["lang", "rank"])
+        .groupBy("lang", "n")
+        .agg(F.min(F.substring("text", 1, params.sample_chars)).alias("text"))
+        .collect()
+    )
     out: dict[str, bytes] = {}
     for row in sorted(sample, key=lambda r: (r.lang, r.n)):
         known = out.get(row.lang, b"")

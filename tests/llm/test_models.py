@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import with_clashes
-from stockweave.llm.language import LanguageParams, identify_languages, keep_identified
+from stockweave.llm.language import LanguageParams, identify_languages, keep_identified, learn_dictionaries
 from stockweave.llm.neighbours import SearchParams, exact_nearest, nearest
 from stockweave.llm.packing import PackingParams, WordTokenizer, pack_documents, sum_of_squares, vocabulary_path
 from stockweave.llm.sharding import ShardParams, assign_shards, hilbert_index, write_shards
@@ -55,6 +55,15 @@ def test_languages_of_awkward_rows(docs, awkward):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["4", "4", "5", "6", "None"]
 
 
+def test_copies_do_not_fill_the_sample(docs):
+    rnd = random.Random(4)
+    rows = [(i, prose(rnd, "en", 40), "en", "s", 0) for i in range(30)]
+    copies = [(1000 + i, rows[k][1], "en", "s", 0) for k in range(5) for i in range(200)]
+    few = learn_dictionaries(docs(rows).select("text", "lang"), LanguageParams(sample_rows=25))
+    many = learn_dictionaries(docs(rows + copies).select("text", "lang"), LanguageParams(sample_rows=25))
+    assert few == many and len(few["en"]) > 25 * 60
+
+
 def test_narrow_margins_are_rejected(docs):
     rnd = random.Random(2)
     rows = [(i, prose(rnd, lang, 30), lang, "s", 0) for i, lang in enumerate(["en", "de", "es"] * 60)]
