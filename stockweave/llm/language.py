@@ -17,7 +17,7 @@ from stockweave.llm.common import by_value, free_name, map_batches
 by_value(__name__)
 
 UNDETERMINED = "und"
-SAMPLE_PARTS = 64
+SAMPLE_PARTS = 16
 
 
 @dataclass(frozen=True)
@@ -25,9 +25,9 @@ class LanguageParams:
     """``dictionary_bytes`` of each language are learned from at most ``sample_rows`` labelled texts,
     at most ``sample_chars`` characters of each: the bounds of the training sample. A language needs
     no least number of texts. ``margin``: share of its bytes by which the runner-up must be longer.
-    Texts whose lead is below ``close`` are compressed again at ``close_level``, behind each of a few
-    ``primers`` cut from the dictionary: a block that compresses anyway shows what the text adds, also
-    where a short text alone would be stored as it is."""
+    Texts whose lead is below ``close`` are compressed again at ``close_level``; those of fewer than
+    ``short_bytes`` behind each of a few ``primers`` cut from the dictionary: a block that compresses
+    anyway shows what the text adds, where a short text alone would be stored as it is."""
 
     dictionary_bytes: int = 64 << 10
     sample_rows: int = 400
@@ -38,6 +38,7 @@ class LanguageParams:
     close_level: int = 12
     primers: int = 4
     primer_bytes: int = 256
+    short_bytes: int = 1024
 
 
 def normalised(text: str) -> bytes:
@@ -102,7 +103,9 @@ def predictor(dictionaries: dict[str, bytes], params: LanguageParams):
         return sorted((len(c.compress(data)), lang) for lang, c in compressors(params.level))
 
     def closer_sizes(data):
-        """Mean bytes that the text adds to a primer."""
+        """Bytes at the stronger level; for a short text, the mean that it adds to a primer."""
+        if len(data) >= params.short_bytes:
+            return sorted((len(c.compress(data)), lang) for lang, c in compressors(params.close_level))
         out = []
         for lang, c in compressors(params.close_level):
             known = dictionaries[lang]
