@@ -3,7 +3,7 @@
 Documents are tokenised where they are read. Lengths are then packed in groups of bounded size: a
 piece goes where the sum of the squared numbers of open sequences per gap becomes smallest. Pieces of
 sequences that a group leaves with a gap are packed again together with those of other groups, until
-one group is left.
+one group is left or packing again no longer fills sequences.
 """
 
 from __future__ import annotations
@@ -23,12 +23,15 @@ END_ID = 1
 
 @dataclass(frozen=True)
 class PackingParams:
-    """``group_rows``: pieces packed in one task at most, about; ``cached_words``: bound of a
-    worker's table of known words."""
+    """``group_rows``: pieces packed in one task at most, about; ``least_closed``: share of its
+    sequences that a level must close for another one to follow; ``spare``: share of its room that a
+    group may leave before best fit is tried; ``cached_words``: bound of a worker's table of known words."""
 
     capacity: int = 4096
     vocabulary: str = "word_bpe_49k.json"
     group_rows: int = 20_000
+    least_closed: float = 0.2
+    spare: float = 0.01
     cached_words: int = 400_000
 
 
@@ -175,8 +178,36 @@ def sum_of_squares(lengths, capacity: int):
     return bins, offsets, np.array(gaps, np.int64)
 
 
-def group_packer(capacity: int, level: int, last: bool):
-    """Packs one group, longest pieces first; sequences with a gap stay open but on the last level."""
+def best_fit(lengths, capacity: int):
+    """Like ``sum_of_squares``, every length going where the smallest gap is left."""
+    import numpy as np
+
+    at_gap: list[list[int]] = [[] for _ in range(capacity + 1)]
+    filled = np.zeros(capacity + 1, bool)
+    gaps: list[int] = []
+    bins, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    for k, s in enumerate(lengths.tolist()):
+        g = s + int(filled[s:].argmax())
+        if filled[g]:
+            b = at_gap[g].pop()
+            filled[g] = bool(at_gap[g])
+        else:
+            g, b = capacity, len(gaps)
+            gaps.append(capacity)
+        bins[k], offsets[k] = b, capacity - g
+        gaps[b] = g - s
+        if gaps[b]:
+            at_gap[gaps[b]].append(b)
+            filled[gaps[b]] = True
+    return bins, offsets, np.array(gaps, np.int64)
+
+
+def group_packer(capacity: int, level: int, spare: float):
+    """Packs one group, longest pieces first; every piece has the gap that its sequence is left with.
+
+    Sums of squares keep sequences of all gaps open, for nothing where no lengths fill them: with more
+    than ``spare`` of the room left, best fit is tried too and taken if it needs fewer sequences.
+    """
 
     def pack(group):
         import numpy as np
@@ -186,17 +217,35 @@ def group_packer(capacity: int, level: int, last: bool):
         row, length = (group.column(c).to_numpy() for c in ("row", "length"))
         order = np.lexsort((row, -length))
         bins, offsets, gaps = sum_of_squares(length[order], capacity)
-        closed = (gaps == 0) | last
+        if gaps.sum() > spare * capacity * len(gaps):
+            other = best_fit(length[order], capacity)
+            if len(other[2]) < len(gaps):
+                bins, offsets, gaps = other
         batch = record_batch(
             row=(row[order], "int64"), length=(length[order], "int64"),
             sequence_id=((np.int64(level) << 56) + (np.int64(number) << 32) + bins, "int64"),
-            offset=(offsets, "int64"), closed=(closed[bins], "bool"),
+            offset=(offsets, "int64"), gap=(gaps[bins], "int64"),
         )
         return pa.Table.from_batches([batch])
 
     return pack
 
 
+def closing_gap(tried: DataFrame, params: PackingParams) -> int | None:
+    """The gap from which on sequences stay open, or None if this level's packing is to be the last.
+
+    Full sequences close. Where they are too few (lengths that hardly ever add up to the capacity),
+    those close, too, that no open piece fits into; if even that closes too few, the groups, all drawn
+    alike, would come out of another level as they are.
+    """
+    gap, first = F.col("gap"), F.col("offset") == 0
+    made, shortest = tried.agg(F.count_if(first), F.min(F.when(gap > 0, F.col("length")))).first()
+    for bound in (1, shortest or 1):
+        if tried.filter(first & (gap < bound)).count() >= params.least_closed * made:
+            return bound
+    return None
+
+
 def packed(pieces: DataFrame, params: PackingParams) -> DataFrame:
     """``pieces`` (with length) and their sequence_id and offset."""
     columns = pieces.columns
@@ -206,20 +255,20 @@ def packed(pieces: DataFrame, params: PackingParams) -> DataFrame:
     while True:
         n = waiting.count()
         groups = max(1, -(-n // params.group_rows))
-        last = groups == 1
 
         spread = waiting.withColumn("pack_group", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(groups)))
         tried = materialize(
             spread.groupBy("pack_group").applyInArrow(
-                group_packer(params.capacity, level, last), "row long, length long, sequence_id long, offset long, closed boolean"
+                group_packer(params.capacity, level, params.spare), "row long, length long, sequence_id long, offset long, gap long"
             ),
             "packed",
         )
-        kept = tried.filter("closed").select("row", "sequence_id", "offset")
+        bound = closing_gap(tried, params) if groups > 1 else None
+        kept = (tried if bound is None else tried.filter(F.col("gap") < bound)).select("row", "sequence_id", "offset")
         done = kept if done is None else done.unionByName(kept)
-        if last:
+        if bound is None:
             break
-        waiting = tried.filter("not closed").select("row", "length")
+        waiting = tried.filter(F.col("gap") >= bound).select("row", "length")
         level += 1
     return rows.join(done, "row").select(*columns, "sequence_id", "offset")
 

@@ -144,6 +144,23 @@ def test_packing(docs, awkward, group_rows):
     assert pack_documents(awkward.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("short", [0, 5])
+def test_packing_of_lengths_that_never_fill(docs, short):
+    """Equal pieces leave the same gap in every sequence; a few short ones fit into it but cannot fill it."""
+    rows = [(i, "1 " * 99) for i in range(75)] + [(100 + i, "") for i in range(short)]
+    pieces = pack_documents(docs(rows), PackingParams(capacity=256, group_rows=25)).collect()
+    assert sorted(p.doc_id for p in pieces) == [i for i, _ in rows]
+    assert sorted({p.length for p in pieces}) == [1, 100][not short :]
+    sequences: dict[int, list] = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for members in sequences.values():
+        ends = [offset + length for offset, length in sorted(members)]
+        assert [0, *ends[:-1]] == [offset for offset, _ in sorted(members)] and ends[-1] <= 256
+    # Of equal pieces, only what one sequence of a group lacks goes on to the next level.
+    assert len(sequences) == 38 if not short else len(sequences) <= 38 + 4
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
