@@ -1,8 +1,8 @@
 """Nearest neighbours by inner product through collision counting.
 
-Vectors get one more component that makes all norms equal, so the largest inner product is the
-shortest distance. In blocks of bounded size, every vector is projected on each of a set of
-directions and each projection kept as a sorted array. A query opens a window around its own
+Blocks of bounded size hold vectors of nearly equal norm. There vectors get one more component that
+makes all norms equal, so the largest inner product is the shortest distance; each vector is projected
+on each of a set of directions and each projection kept as a sorted array. A query opens a window around its own
 projection in every array; a vector collides where it falls inside. Windows grow round by round
 (virtual rehashing) and only what they newly cover is counted; vectors that collide in more arrays
 than a threshold are verified by their true inner product, until enough of the block has been.
@@ -10,6 +10,7 @@ than a threshold are verified by their true inner product, until enough of the b
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,8 @@ class SearchParams:
     ``width`` standard deviations of a projection to each side, later ones ``growth`` times as far.
     Vectors inside at least ``threshold`` of the windows are verified; a query is done with a block
     once ``k`` and ``verified`` of the block's vectors are. All of it is relative, so the share of
-    work and the recall are alike at every size."""
+    work and the recall are alike at every size. The norms of a block lie within a ratio of
+    ``norm_ratio``: longer vectors would make its windows too wide to tell the others apart."""
 
     k: int = 20
     projections: int = 64
@@ -36,6 +38,7 @@ class SearchParams:
     growth: float = 1.12
     threshold: float = 0.85
     verified: float = 0.1
+    norm_ratio: float = 1.05
     block_rows: int = 4096
     query_rows: int = 1024
     seed: int = 7
@@ -60,12 +63,14 @@ def directions(dim: int, params: SearchParams):
 class Block:
     """Sorted projection arrays of one block of vectors."""
 
-    def __init__(self, vectors, rows, ids, reach: float, params: SearchParams):
+    def __init__(self, vectors, rows, ids, params: SearchParams):
         import numpy as np
 
         self.vectors, self.rows, self.ids, self.params = vectors, rows, ids, params
         n, dim = vectors.shape
-        lift = np.sqrt(np.maximum(0.0, reach * reach - (vectors * vectors).sum(1)))
+        squares = (vectors * vectors).sum(1)
+        reach = np.sqrt(squares.max()) * (1 + 1e-9)
+        lift = np.sqrt(np.maximum(0.0, reach * reach - squares))
         self.axes = directions(dim + 1, params)
         projected = np.concatenate([vectors, lift[:, None]], axis=1) @ self.axes
         order = np.argsort(projected, axis=0, kind="stable")
@@ -160,26 +165,34 @@ def nearest(
     other rows of the same dimension, ties to the smaller vec_id. Vectors null, empty, all zero, or
     with null or non-finite components take no part, nor do rows with a null vec_id; a repeated row
     is a candidate of its own and, if a query, answered once per row. All rows are indexed; queries
-    meet blocks of bounded size, and only each block's ``k`` best leave it.
+    meet blocks of bounded size and nearly equal norms, and only each block's ``k`` best leave it.
     """
     base = vectors.select(
         F.col("vec_id").cast("long").alias("id"),
         F.col(vector).cast("array<double>").alias("vector"),
         F.coalesce(queries, F.lit(False)).alias("asks"),
     ).filter(F.col("id").isNotNull() & valid("vector"))
-    rows = numbered(base.withColumn("dim", F.size("vector").cast("long")), "vectors", "row")
-    n, asking, longest = rows.agg(
-        F.count("*"), F.count_if("asks"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    ).first()
-    reach = (longest or 1.0) ** 0.5 * (1 + 1e-9)
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    # Squares beyond the range of doubles, on either side, have a band of their own.
+    band = (
+        F.when(squares == 0, -(1 << 62)).when(squares == float("inf"), 1 << 62)
+        .otherwise(F.round(F.log(squares) / (2 * math.log(params.norm_ratio))).cast("long"))
+    )
+    rows = numbered(
+        base.withColumn("dim", F.size("vector").cast("long")).withColumn("band", band), "vectors", "row"
+    )
+    n, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
     parts, asked = max(1, -(-n // params.block_rows)), max(1, -(-asking // params.query_rows))
-    spread = lambda k: F.pmod(F.xxhash64("row"), F.lit(k))
-    index = materialize(gathered(rows, ["dim"], spread(parts), "index"), "index")
+    spread = lambda k: F.pmod(F.xxhash64("row"), k)
+    # One row per dimension and band of norms, whose number the range of doubles bounds.
+    blocks = rows.groupBy("dim", "band").agg(F.ceil(F.count("*") / params.block_rows).alias("blocks"))
+    banded = rows.join(F.broadcast(blocks), ["dim", "band"])
+    index = materialize(gathered(banded, ["dim", "band"], spread(F.col("blocks")), "index"), "index")
     asks = materialize(
-        gathered(rows.filter("asks"), ["dim"], spread(asked), "query"), "queries"
+        gathered(rows.filter("asks"), ["dim"], spread(F.lit(asked)), "query"), "queries"
     )
     # The stated query set meets the blocks of its dimension, a group of queries at a time.
-    pairs = asks.join(index, "dim").repartition(parts * asked, "index_part", "query_part", "dim")
+    pairs = asks.join(index, "dim").repartition(parts * asked, "band", "index_part", "query_part", "dim")
 
     def run(batches):
         import numpy as np
@@ -189,7 +202,7 @@ def nearest(
                 dim = pair["dim"]
                 block = Block(
                     matrix_of(pair["index_vectors"], dim), np.frombuffer(pair["index_rows"], "<i8"),
-                    np.frombuffer(pair["index_ids"], "<i8"), reach, params,
+                    np.frombuffer(pair["index_ids"], "<i8"), params,
                 )
                 own, ids = (np.frombuffer(pair[c], "<i8") for c in ("query_rows", "query_ids"))
                 found = list(block.search(matrix_of(pair["query_vectors"], dim), own))

@@ -190,6 +190,25 @@ def test_neighbours_recall_and_scores(spark):
     assert [r.vec_id for r in full] == sorted(range(1, 200), key=lambda i: (-scores[i], i))[:5]
 
 
+@pytest.mark.parametrize("spread,outlier", [(0.0, 2.0), (0.0, 10.0), (0.25, 1.0), (0.5, 1.0)])
+def test_neighbours_recall_of_unequal_norms(spark, spread, outlier):
+    rnd = np.random.default_rng(2)
+    points = rnd.standard_normal((2000, 48))
+    points *= (np.exp(spread * rnd.standard_normal(2000)) / np.linalg.norm(points, axis=1))[:, None]
+    points[77] *= outlier
+    exact = points.astype(np.float32).astype(float)
+    got: dict[int, set] = {}
+    for r in nearest(vectors(spark, [(i, p.tolist(), 0) for i, p in enumerate(exact)]), F.col("vec_id") % 20 == 0).collect():
+        assert abs(r.score - exact[r.vec_id] @ exact[r.query_id]) < 1e-9
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 2000, 20):
+        scores = exact @ exact[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & got[q])
+    assert hits / (100 * 20) > 0.95
+
+
 def test_neighbours_of_awkward_vectors(spark):
     rows = [
         (0, [1.0, 0.0], 0), (20, [0.0, 0.0], 0), (40, None, 0), (1, [float("nan"), 1.0], 0), (2, [float("inf"), 1.0], 0),
