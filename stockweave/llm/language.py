@@ -1,7 +1,8 @@
 """Language identification by compression with one raw-content dictionary per language.
 
-A text is compressed once with each language's dictionary; the language whose dictionary leaves the
-fewest bytes is the prediction, and where the runner-up needs hardly more, the text is rejected.
+A text is compressed with each language's dictionary, a long one in blocks that each start from it;
+the language whose dictionary leaves the fewest bytes is the prediction, and where the runner-up needs
+hardly more, the text is rejected.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ class LanguageParams:
     no least number of texts. ``margin``: share of its bytes by which the runner-up must be longer.
     Texts whose lead is below ``close`` are compressed again at ``close_level``; those of fewer than
     ``short_bytes`` behind each of a few ``primers`` cut from the dictionary: a block that compresses
-    anyway shows what the text adds, where a short text alone would be stored as it is."""
+    anyway shows what the text adds, where a short text alone would be stored as it is. Longer texts
+    than ``block_bytes`` are compressed in equal blocks of that size at most and the bytes summed up: a
+    dictionary helps only near the start of a block, so the lead stays a like share at every length."""
 
     dictionary_bytes: int = 64 << 10
     sample_rows: int = 400
@@ -39,6 +42,7 @@ class LanguageParams:
     primers: int = 4
     primer_bytes: int = 256
     short_bytes: int = 1024
+    block_bytes: int = 32 << 10
 
 
 def normalised(text: str) -> bytes:
@@ -99,13 +103,15 @@ def predictor(dictionaries: dict[str, bytes], params: LanguageParams):
                 )
         return made[level].items()
 
-    def sizes(data):
-        return sorted((len(c.compress(data)), lang) for lang, c in compressors(params.level))
+    def sizes(data, level):
+        step = -(-len(data) // -(-len(data) // params.block_bytes))
+        blocks = [data[i : i + step] for i in range(0, len(data), step)]
+        return sorted((sum([len(c.compress(b)) for b in blocks]), lang) for lang, c in compressors(level))
 
     def closer_sizes(data):
         """Bytes at the stronger level; for a short text, the mean that it adds to a primer."""
         if len(data) >= params.short_bytes:
-            return sorted((len(c.compress(data)), lang) for lang, c in compressors(params.close_level))
+            return sizes(data, params.close_level)
         out = []
         for lang, c in compressors(params.close_level):
             known = dictionaries[lang]
@@ -121,7 +127,7 @@ def predictor(dictionaries: dict[str, bytes], params: LanguageParams):
         data = normalised(text) if text else b""
         if not data or not dictionaries or not any(c.isalpha() for c in data.decode()):
             return UNDETERMINED, 0.0, True
-        ranked = sizes(data)
+        ranked = sizes(data, params.level)
         if len(ranked) == 1:
             return ranked[0][1], 1.0, False
         if ranked[1][0] - ranked[0][0] < params.close * ranked[0][0]:

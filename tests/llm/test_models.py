@@ -73,6 +73,16 @@ def test_narrow_margins_are_rejected(docs):
     assert sum(r.rejected for r in identify_languages(docs(rows)).filter("doc_id < 1000").collect()) == 0
 
 
+def test_long_texts_are_not_rejected(docs):
+    """A dictionary helps only at the start of a text; the lead must not shrink to nothing beside its length."""
+    rnd = random.Random(8)
+    rows = [(i, prose(rnd, lang, 60), lang, "s", 0) for i, lang in enumerate(["en", "de", "es"] * 100)]
+    rows += [(1000 + i, prose(rnd, lang, n), None, "s", 0) for n in (40_000, 700_000) for i, lang in enumerate(["en", "de", "es"], n)]
+    got = {r.doc_id: r for r in identify_languages(docs(rows)).filter("doc_id >= 1000").collect()}
+    assert len(got) == 6 and not any(r.rejected for r in got.values())
+    assert all(got[1000 + n + i].lang_pred == lang for n in (40_000, 700_000) for i, lang in enumerate(["en", "de", "es"]))
+
+
 ODD = [
     "a", "Th'e", "it's", "don't", "İstanbul", "ſ", "K", "é", "é", "Σας", "ΟΔΟΣ", "<|endoftext|>", "<|x", "1234", "½",
     "日本語", " ", "\t", "\r\n", "\x1c", "\x85", "«q»", "x×y", "😀", "ß", "ŉ", "Ǆ", "Ⱥ", "ȳ", " ", "_-_", "...", "a.b",
