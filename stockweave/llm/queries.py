@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockweave.llm import decontaminate, language, licenses, neighbours, packing, secrets, sentences, sharding, simhash, sql, substrings
+from stockweave.llm import (
+    decontaminate,
+    importance,
+    language,
+    licenses,
+    neighbours,
+    packing,
+    secrets,
+    sentences,
+    sharding,
+    simhash,
+    spelling,
+    sql,
+    substrings,
+    toxicity,
+)
 from stockweave.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +95,19 @@ def _(spark, d):
 @query("op10_substrings")
 def _(spark, d):
     return substrings.dedup_substrings(table(spark, d, "documents"))
+
+
+@query("op11_toxicity")
+def _(spark, d):
+    return toxicity.score_toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op12_importance", sql.importance_sql())
+def _(spark, d):
+    ranks = importance.importance_ranks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return ranks.drop("n_words")
+
+
+@query("op13_spelling", sql.spelling_sql())
+def _(spark, d):
+    return spelling.spelling_variants(table(spark, d, "documents"), change=spelling.dropped_letter)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from stockweave.llm.decontaminate import WINDOW
+from stockweave.llm.importance import ImportanceParams, crc_table
 from stockweave.llm.licenses import TEMPLATES
 from stockweave.llm.secrets import BASE_KINDS, RULES
 from stockweave.llm.sentences import SentenceParams
+from stockweave.llm.spelling import SpellingParams
 
 
 def quoted(text: str) -> str:
@@ -24,6 +26,14 @@ def words(text: str) -> str:
 ROWS = "rows AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents)"
 
 
+def crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text, byte by byte."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT"
+    step = f"xor(c >> 8, {crc_table().tolist()}[(xor(c, b) & 255) + 1])"
+    ones = "4294967295::BIGINT"
+    return f"xor(list_reduce(list_transform(range(strlen({text})), lambda i: {byte}), lambda c, b: {step}, {ones}), {ones})"
+
+
 def license_sql(templates: dict[str, str] = TEMPLATES, threshold: float = 0.8) -> str:
     values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in sorted(templates.items()))
     grams = "unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g"
@@ -128,3 +138,76 @@ spans AS (SELECT r, count(*) AS n_spans FROM later GROUP BY r)
 SELECT doc_id, coalesce(n_sentences, 0)::BIGINT AS n_sentences, coalesce(n_removed, 0)::BIGINT AS n_removed,
   coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(t, '')) AS kept_sha256
 FROM rows LEFT JOIN kept USING (r) LEFT JOIN spans USING (r)"""
+
+
+def importance_sql(params: ImportanceParams = ImportanceParams()) -> str:
+    sizes = range(1, params.longest + 1)
+
+    def runs(rows: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT r, array_to_string(w[i : i + {k - 1}], ' ') AS g FROM "
+            f"(SELECT r, w, unnest(range(1, len(w) - {k - 2})) AS i FROM {rows} WHERE len(w) >= {k})"
+            for k in sizes
+        )
+
+    h = f"('0x' || sha256('{params.seed}:' || coalesce(doc_id::VARCHAR, ''))[1 : 8])::BIGINT"
+    return f"""
+WITH {ROWS},
+doc_words AS (SELECT r, doc_id, {words('text')} AS w FROM rows),
+item_words AS (SELECT 0 AS r, {words("coalesce(text, '')")} AS w FROM benchmark),
+doc_runs AS (SELECT r, g, count(*) AS n FROM ({runs('doc_words')}) GROUP BY ALL),
+item_runs AS (SELECT g, count(*) AS n FROM ({runs('item_words')}) GROUP BY ALL),
+hashed AS (
+  SELECT g, {crc32('g')} % {params.buckets} AS b FROM (SELECT g FROM doc_runs UNION SELECT g FROM item_runs)),
+s AS (SELECT b, sum(n)::BIGINT AS s FROM doc_runs JOIN hashed USING (g) GROUP BY b),
+t AS (SELECT b, sum(n)::BIGINT AS t FROM item_runs JOIN hashed USING (g) GROUP BY b),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS s_all, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS t_all),
+gains AS (
+  SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + {params.buckets})
+    / ((s + 1)::DOUBLE * (t_all + {params.buckets}))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (b), sums),
+weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM doc_runs JOIN hashed USING (g) JOIN gains USING (b) GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) >= {params.least_words} AS eligible, coalesce(n_features, 0)::BIGINT AS n_features,
+    coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln(({h} + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM doc_words LEFT JOIN weights USING (r)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id NULLS LAST) AS p,
+    count(*) OVER (PARTITION BY eligible) AS of FROM scored)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN eligible AND p <= {params.percent} * of // 100 THEN p END AS rank FROM placed"""
+
+
+def spelling_sql(params: SpellingParams = SpellingParams()) -> str:
+    """Near words by deletion: of equal lengths equal without one place, else one is the other without one."""
+    without = "run[1 : h % length(run)] || run[h % length(run) + 2 :]"
+    return f"""
+WITH RECURSIVE {ROWS},
+runs AS (
+  SELECT d, run, count(*) AS k FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all({lower('text')}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM rows) GROUP BY ALL),
+hashed AS (SELECT run, k, {crc32("(d || ':' || run)")} AS h FROM runs),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (SELECT k, CASE WHEN h % 31 = 0 THEN {without} ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {params.least_letters} GROUP BY word HAVING sum(k) >= {params.least_count}),
+cut AS (
+  SELECT word, length(word) AS l, i, word[1 : i - 1] || word[i + 1 :] AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT p.word, count(*) AS n_near, arg_min(w.word, (-w.n, w.word)) AS near, max(w.n) AS near_n
+  FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= {params.ratio} * n THEN near END AS form,
+    CASE WHEN near_n >= {params.ratio} * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root, form AS onward FROM formed
+  UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.onward)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN chain USING (word) WHERE onward IS NULL"""
