@@ -22,9 +22,10 @@ class ToxicityParams:
     """The training sample: at most ``sample_rows`` labelled documents of at most ``sample_bytes`` UTF-8
     bytes each, those of smallest hash. Features are words, pairs of neighbours and pairs of words
     with each of ``gaps`` words between them, hashed to ``bits`` bits; one must occur in ``least_docs``
-    documents of the sample to be learned. ``shard_rows`` documents are passed through in one task;
-    after each of ``epochs`` passes the shards' states are averaged. ``alpha``, ``beta``: the rate of a
-    coordinate is alpha / (beta + root of its summed squared gradients); ``l1``, ``l2``: penalties."""
+    documents of the sample to be learned. ``shard_rows`` documents are passed through in one task,
+    ``passes`` times in each of ``rounds``; after a round the shards' states are averaged. ``alpha``, ``beta``: the rate of a
+    coordinate is alpha / (beta + root of its summed squared gradients); ``l1``, ``l2``: penalties. A toxic document
+    counts as ``toxic_weight`` others, as there are fewer."""
 
     sample_rows: int = 8_000
     sample_bytes: int = 32 << 10
@@ -32,11 +33,13 @@ class ToxicityParams:
     gaps: tuple[int, ...] = (1, 2)
     least_docs: int = 3
     shard_rows: int = 2_000
-    epochs: int = 8
+    rounds: int = 4
+    passes: int = 2
     alpha: float = 4.0
     beta: float = 1.0
-    l1: float = 4.0
+    l1: float = 8.0
     l2: float = 0.0
+    toxic_weight: float = 3.0
 
 
 #: Any ASCII but letters and digits parts words; so do the signs of the general punctuation blocks.
@@ -96,6 +99,7 @@ def ftrl_pass(rows: list, z, n, params: ToxicityParams) -> None:
         own, squares = z[at], n[at]
         w = proximal_weights(own, squares, params)
         gradient = 1.0 / (1.0 + np.exp(-min(max(w.sum(), -35.0), 35.0))) - label
+        gradient *= params.toxic_weight if label else 1.0
         more = squares + gradient * gradient
         z[at] = own + gradient - (np.sqrt(more) - np.sqrt(squares)) / params.alpha * w
         n[at] = more
@@ -139,7 +143,7 @@ def sample_features(sample: DataFrame, params: ToxicityParams) -> DataFrame:
 
 
 def shard_pass(z, n, params: ToxicityParams):
-    """``f(shard's rows) -> arrow table``: how one pass from the state (z, n) moves it."""
+    """``f(shard's rows) -> arrow table``: how its passes from the state (z, n) move it."""
 
     def run(table):
         import numpy as np
@@ -147,8 +151,11 @@ def shard_pass(z, n, params: ToxicityParams):
 
         table = table.sort_by("place")
         own_z, own_n = z.copy(), n.copy()
-        at = [np.array(a, np.int64) for a in table.column("at").to_pylist()]
-        ftrl_pass(list(zip(at, table.column("label").to_pylist())), own_z, own_n, params)
+        at = table.column("at").combine_chunks()
+        at = np.split(at.values.to_numpy(), at.offsets.to_numpy()[1:-1])
+        rows = list(zip(at, table.column("label").to_pylist()))
+        for _ in range(params.passes):
+            ftrl_pass(rows, own_z, own_n, params)
         moved = np.flatnonzero((own_n != n) | (own_z != z))
         return pa.table({"at": moved.astype(np.int32), "z": own_z[moved] - z[moved], "n": own_n[moved] - n[moved]})
 
@@ -158,7 +165,7 @@ def shard_pass(z, n, params: ToxicityParams):
 def learn_weights(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> dict[int, float]:
     """Feature -> weight, zero weights left out; -1 is the constant that every text has.
 
-    What reaches the driver is bounded by the sample: its frequent features and, per pass, one state
+    What reaches the driver is bounded by the sample: its frequent features and, per round, one state
     row per feature that a shard touched.
     """
     import numpy as np
@@ -189,7 +196,7 @@ def learn_weights(docs: DataFrame, labels: DataFrame, params: ToxicityParams = T
     rows = sample.select(shard.alias("shard"), F.xxhash64("doc_id", F.lit(7)).alias("place"), "label", "features")
     rows = materialize(map_batches(rows, places, "shard long, place long, label int, at array<int>"), "toxicity_rows")
     z, n = np.zeros((2, len(features) + 1))
-    for _ in range(params.epochs):
+    for _ in range(params.rounds):
         moves = rows.groupBy("shard").applyInArrow(shard_pass(z, n, params), "at int, z double, n double").toArrow()
         at = moves.column("at").to_numpy()
         order = np.lexsort((moves.column("n").to_numpy(), moves.column("z").to_numpy(), at))
