@@ -615,6 +615,23 @@ twin("persona_names_with_outliers", PERSONAS.format(first="WHEN cluster_id = pow
 twin("latest_forecast", "SELECT store_id, product_name, order_date, units_sold, forecast_units, model_type FROM latest")
 twin("current_stock", "SELECT * FROM stock")
 twin("dominant_segment", "SELECT * FROM dominant")
+MET_ORDERS = "(SELECT o_custkey AS user_id, o_orderdate AS ordered, {best}(o_orderkey) AS k FROM orders GROUP BY ALL)"
+twin("asof_next_order", f"""
+    SELECT e.event_id, e.user_id, o.ordered, o.k AS met_order
+    FROM (SELECT event_id, user_id, ts - INTERVAL 25 YEAR AS moved FROM events) e
+    ASOF LEFT JOIN {MET_ORDERS.format(best="min")} o ON e.user_id = o.user_id AND e.moved <= o.ordered""")
+twin("asof_order_before_shipping", f"""
+    SELECT l.order_key, l.line, l.user_id, o.ordered, o.k AS met_order
+    FROM (SELECT l_orderkey AS order_key, l_linenumber AS line, o_custkey AS user_id, l_shipdate AS shipped
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey) l
+    ASOF LEFT JOIN {MET_ORDERS.format(best="max")} o ON l.user_id = o.user_id AND l.shipped >= o.ordered""")
+twin("interval_supplier_load", """
+    SELECT order_key, line, first_day, last_day, count(*) AS n_lines, sum(p.l_quantity) AS units
+    FROM (SELECT l_suppkey, l_orderkey AS order_key, l_linenumber AS line, CAST(l_shipdate AS DATE) AS first_day,
+                 CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) AS last_day
+          FROM lineitem WHERE l_returnflag = 'R') w
+    JOIN lineitem p ON p.l_suppkey = w.l_suppkey AND CAST(p.l_shipdate AS DATE) BETWEEN first_day AND last_day
+    GROUP BY ALL""")
 twin("urgency_scores", f"""
     SELECT s.store_id, s.product_name, s.order_date, s.units_sold, s.forecast_units, s.current_stock, s.days_to_festival,
            u.level AS urgency, u.label AS urgency_label, u.color AS urgency_color
@@ -649,7 +666,7 @@ twin("store_kpis", """
 twin("store_actions_top", """
     SELECT * FROM (SELECT *, CAST(row_number() OVER
         (PARTITION BY store_id ORDER BY urgency DESC, reorder_qty DESC, product_name) AS INTEGER) AS position FROM acts)
-    WHERE position <= 20""")
+    WHERE position <= 50""")
 CTES["lastdate"] = "SELECT max(order_date) AS d FROM lagged"
 CTES["held_stock"] = """
     SELECT store_id, product_name, CAST(round_even(avg(units_sold) * CAST(0.8 AS DOUBLE), 0) AS INTEGER) AS current_stock

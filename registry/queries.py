@@ -23,6 +23,7 @@ from stockweave.operators import (
     profile,
     rules,
     segments,
+    timejoins,
 )
 from stockweave.functions.scalars import calendar_parts, days_to_next, rain_bin, temp_bin, time_slot
 from stockweave.params import CLUSTER_FEATURES, ForecastParams, FusionParams, MiningParams, RfmParams, SegmentParams
@@ -289,6 +290,58 @@ def _(spark, d):
     return calendar.latest_event_context(adapter.calendar(spark, d))
 
 
+# ---- joins by time ---------------------------------------------------------
+
+
+def customer_orders(spark: SparkSession, d: str) -> DataFrame:
+    return adapter.table(spark, d, "orders").select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("ordered"), F.col("o_orderkey").alias("order_id")
+    )
+
+
+def with_met_order(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*cols, F.col("met.ordered").alias("ordered"), F.col("met.order_id").alias("met_order"))
+
+
+@query("asof_next_order")
+def _(spark, d):
+    """The events' year is moved back into the orders' years."""
+    events = adapter.table(spark, d, "events").select(
+        "event_id", "user_id", (F.col("ts") - F.expr("INTERVAL 25 YEARS")).alias("at")
+    )
+    met = timejoins.asof_join(events, customer_orders(spark, d), ["user_id"], "at", "ordered", "met")
+    return with_met_order(met, "event_id", "user_id")
+
+
+@query("asof_order_before_shipping")
+def _(spark, d):
+    """For every line the customer's last order at or before the day it was shipped."""
+    lines = adapter.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line"), F.col("l_shipdate").alias("shipped")
+    )
+    owners = customer_orders(spark, d).select("user_id", F.col("order_id").alias("order_key"))
+    met = timejoins.asof_join(
+        lines.join(owners, "order_key"), customer_orders(spark, d), ["user_id"], "shipped", "ordered", "met", forward=False
+    )
+    return with_met_order(met, "order_key", "line", "user_id")
+
+
+@query("interval_supplier_load")
+def _(spark, d):
+    """Lines and units a supplier ships while a returned line is made good, a day for each of its units."""
+    lines = adapter.table(spark, d, "lineitem")
+    windows = lines.filter("l_returnflag = 'R'").select(
+        "l_suppkey", F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line"),
+        F.col("l_shipdate").cast("date").alias("first_day"),
+        F.date_add(F.col("l_shipdate").cast("date"), F.col("l_quantity").cast("int")).alias("last_day"),
+    )
+    shipped = lines.select("l_suppkey", F.col("l_shipdate").cast("date").alias("day"), "l_quantity")
+    met = timejoins.interval_join(shipped, windows, ["l_suppkey"], "day", "first_day", "last_day")
+    return met.groupBy("order_key", "line", "first_day", "last_day").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("units")
+    )
+
+
 # ---- features --------------------------------------------------------------
 
 
@@ -769,7 +822,7 @@ def _(spark, d):
 
 @query("store_actions_top")
 def _(spark, d):
-    return rounded(fusion.store_actions_top(actions(spark, d), 20))
+    return rounded(fusion.store_actions_top(actions(spark, d), 50))
 
 
 @query("backtest_30d")
