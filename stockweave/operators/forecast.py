@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import Model
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockweave.functions.ordering import daily_positions, ranked
 from stockweave.functions.quantiles import exact_quantiles
 from stockweave.functions.scalars import half_even_int, mixed_hash, percentage_error
+from stockweave.operators.boosting import BoostedTrees, BoostParams, Run, boost
 from stockweave.operators.demand import SERIES
 from stockweave.params import ForecastParams
 from stockweave.session import materialize
@@ -114,87 +111,42 @@ def forecast_hit_rate(folds: DataFrame, prediction: Column, level: float = 0.8)
 
 @dataclass(frozen=True)
 class BoostedForecast:
-    """Fitted models per fold, their accuracy, and the scored test rows."""
+    """The last fold's trees, the accuracy over the folds, the scored test rows, and all rows."""
 
-    model: Model
+    model: BoostedTrees
     accuracy: DataFrame
     scored: DataFrame
     rows: DataFrame
 
 
-def assemble(rows: DataFrame, p: ForecastParams) -> DataFrame:
-    filled = rows.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in p.features})
-    return VectorAssembler(inputCols=list(p.features), outputCol="features").transform(
-        filled.select(*SERIES, "order_date", *[c for c in rows.columns if c in ("position", "test_fold")],
-                      *p.features, F.col("units_sold").cast("double").alias("units_sold"))
+def boost_params(p: ForecastParams) -> BoostParams:
+    return BoostParams(
+        leaves=p.leaves, rounds=p.rounds, step=p.step, min_leaf_rows=p.min_leaf_rows, patience=p.patience, bins=p.bins
     )
 
 
-def boosted_trees(p: ForecastParams, rounds: int) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol="units_sold",
-        maxIter=rounds,
-        stepSize=p.step,
-        maxDepth=p.depth,
-        minInstancesPerNode=p.min_leaf_rows,
-        seed=p.seed,
-    )
-
-
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """1-based round of the least error before ``patience`` rounds without a smaller one."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit_stopped(train: DataFrame, validation: DataFrame, p: ForecastParams) -> Model:
-    """Boosted trees with as many rounds, at most ``rounds``, as serve the validation rows.
-
-    Trees are fitted in growing numbers until the best round has ``patience`` rounds behind it. The
-    first trees of a fit do not depend on how many follow, so fitting again with the best number of
-    rounds gives just the trees up to it.
-    """
-    if validation.isEmpty():
-        return boosted_trees(p, p.rounds).fit(train)
-    rounds = min(p.rounds, p.patience + p.patience // 3)
-    while True:
-        model = boosted_trees(p, rounds).fit(train)
-        best = best_round(model.evaluateEachIteration(validation, "squared"), p.patience)
-        if rounds >= p.rounds or rounds - best >= p.patience:
-            return model if best == rounds else boosted_trees(p, best).fit(train)
-        rounds = min(p.rounds, 2 * rounds)
-
-
 def fit_boosted(features: DataFrame, p: ForecastParams = ForecastParams(), validation_share: float = 0.1) -> BoostedForecast:
     """Boosted trees per expanding fold; the newest tenth of a training block stops the rounds.
 
-    The loop is over the few folds; every fit is one distributed job. The last fold's model is
-    the one to score with.
+    All folds grow their trees in the same scans. The last fold's model is the one to score with.
     """
-    rows = materialize(assemble(time_series_folds(features, p), p), "forecast_rows")
+    used = [c for c in ("position", "test_fold", "lag_7d", *SERIES, "order_date", "units_sold") if c not in p.features]
+    rows = materialize(time_series_folds(features, p).select(*used, *p.features), "forecast_rows")
     starts = {
         r["test_fold"]: r["start"]
         for r in rows.filter("test_fold IS NOT NULL").groupBy("test_fold").agg(F.min("position").alias("start")).collect()
     }  # one row per fold
-    model, scored = None, None
-    for fold, start in sorted(starts.items()):
-        cut = start - 1 - int((start - 1) * validation_share)
-        model = fit_stopped(
-            rows.filter(F.col("position") <= cut), rows.filter(F.col("position").between(cut + 1, start - 1)), p
-        )
-        test = model.transform(rows.filter(F.col("test_fold") == fold))
-        scored = test if scored is None else scored.unionByName(test)
-    if model is None:
+    if not starts or min(starts.values()) < 2:
         raise ValueError("too few rows for the folds")
-    scored = materialize(
-        scored.select("test_fold", "units_sold", "lag_7d", "prediction"), "scored_folds"
-    )
-    return BoostedForecast(model, forecast_accuracy(scored, F.col("prediction")), scored, rows)
+    folds = sorted(starts)
+    runs = [Run(s - 1 - int((s - 1) * validation_share), s - 1) for s in (starts[f] for f in folds)]
+    models = boost(rows, p.features, "units_sold", "position", runs, boost_params(p))
+    tested = [
+        rows.filter(F.col("test_fold") == f).select("test_fold", "units_sold", "lag_7d", m.predict().alias("prediction"))
+        for f, m in zip(folds, models)
+    ]
+    scored = materialize(reduce(DataFrame.unionByName, tested), "scored_folds")
+    return BoostedForecast(models[-1], forecast_accuracy(scored, F.col("prediction")), scored, rows)
 
 
 def fold_report(fit: BoostedForecast) -> DataFrame:
@@ -207,14 +159,14 @@ def fold_report(fit: BoostedForecast) -> DataFrame:
 def boosted_forecast(features: DataFrame, fit: BoostedForecast, p: ForecastParams = ForecastParams()) -> DataFrame:
     """Every feature row scored by the last model (a backcast over the whole history)."""
     mape = fit.accuracy.select("mape").scalar()
-    scored = fit.model.transform(assemble(features, p))
+    scored = features.withColumn("_prediction", fit.model.predict())
     return as_forecast(
-        scored.withColumn("units_sold", F.col("units_sold").cast("long")), F.col("prediction"), "boosted_trees", mape
+        scored.withColumn("units_sold", F.col("units_sold").cast("long")), F.col("_prediction"), "boosted_trees", mape
     )
 
 
 def feature_importance(fit: BoostedForecast, p: ForecastParams = ForecastParams()) -> DataFrame:
-    """(feature, gain, mape_increase): tree importance and the rise in MAPE when the feature's
+    """(feature, gain, mape_increase): share of the splits' gain and the rise in MAPE when the feature's
     values are exchanged between the test rows, all of them.
 
     Test rows are numbered in hash order; a feature's values move on by a shift of its own.
@@ -222,10 +174,11 @@ def feature_importance(fit: BoostedForecast, p: ForecastParams = ForecastParams(
     spark = fit.rows.sparkSession
     names = list(p.features)
     gains = spark.createDataFrame(
-        [(n, float(g)) for n, g in zip(names, fit.model.featureImportances.toArray())], "feature string, gain double"
+        list(zip(names, fit.model.gains())), "feature string, gain double"
     )
     tests = fit.rows.filter("test_fold IS NOT NULL").select(
-        F.xxhash64("position", F.lit(p.seed)).alias("h"), "position", "units_sold", vector_to_array("features").alias("x")
+        F.xxhash64("position", F.lit(p.seed)).alias("h"), "position", "units_sold",
+        F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in names]).alias("x"),
     )
     rows = materialize(ranked(tests, ["h", "position"], "r").select("r", "units_sold", "x"), "importance_rows")
     size = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -235,9 +188,11 @@ def feature_importance(fit: BoostedForecast, p: ForecastParams = ForecastParams(
         ((F.col("r") + shift) % size).alias("r"), "j", "other"
     )
     mixed = F.transform("x", lambda v, i: F.when(i == F.col("j"), F.col("other")).otherwise(v))
-    plain = rows.select("units_sold", F.lit(-1).alias("j"), array_to_vector("x").alias("features"))
-    exchanged = rows.join(moved, "r").select("units_sold", "j", array_to_vector(mixed).alias("features"))
-    scored = fit.model.transform(plain.unionByName(exchanged))
+    plain = rows.select("units_sold", F.lit(-1).alias("j"), "x")
+    exchanged = rows.join(moved, "r").select("units_sold", "j", mixed.alias("x"))
+    scored = plain.unionByName(exchanged).withColumn(
+        "prediction", fit.model.predict([F.col("x")[i] for i in range(len(names))])
+    )
     errors = scored.groupBy("j").agg(
         (F.avg(percentage_error(F.col("units_sold"), F.greatest("prediction", F.lit(0.0)))) * 100).alias("m")
     )

@@ -122,7 +122,8 @@ class ForecastParams:
     folds: int = 5
     rounds: int = 300
     step: float = 0.05
-    depth: int = 6
+    leaves: int = 63
+    bins: int = 64
     min_leaf_rows: int = 20
     seed: int = 42
     features: tuple[str, ...] = DEMAND_FEATURES

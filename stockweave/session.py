@@ -73,8 +73,13 @@ def scratch_scope(spark: SparkSession):
         yield folder
     finally:
         spark.conf.set(SCOPE_KEY, outer) if outer else spark.conf.unset(SCOPE_KEY)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(spark, folder)
+
+
+def remove_path(spark: SparkSession, name: str) -> None:
+    """Remove a folder that this run wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ def test_jobs_end_to_end(spark, tmp_path):
         timeline=TimelineParams(anchor=date(1995, 1, 1), last_day=date(2001, 8, 1)),
         mining=MiningParams(min_orders=10, min_support=0.1, max_len=2),
         segments=SegmentParams(k_values=(3,), restarts=1, sweep_restarts=1, max_iter=5, eps=2.5),
-        forecast=ForecastParams(top_skus=6, rounds=2, depth=3),
+        forecast=ForecastParams(top_skus=6, rounds=2, leaves=8),
         clusters=3,
         generated_at=datetime(2024, 5, 1, 8, 20),
     )

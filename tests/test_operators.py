@@ -257,7 +257,7 @@ def test_boosted_trees_learn_and_explain(spark):
             x = rng.randrange(0, 8)
             data.append((date.fromordinal(737425 + d), "s", p, 1 + 2 * x, x, rng.random()))
     df = spark.createDataFrame(data, "order_date date, store_id string, product_name string, units_sold long, lag_7d long, noise double")
-    p = ForecastParams(rounds=40, step=0.3, depth=2, min_leaf_rows=1, features=("lag_7d", "noise"))
+    p = ForecastParams(rounds=40, step=0.3, leaves=4, min_leaf_rows=1, features=("lag_7d", "noise"))
     fit = forecast.fit_boosted(df, p)
     acc = fit.accuracy.first()
     assert acc.mape < 10 < acc.naive_mape and acc.improvement_pct > 50
@@ -272,18 +272,6 @@ def test_boosted_trees_learn_and_explain(spark):
     assert len(fit.model.trees) > 1 and acc.mape < one.accuracy.first().mape
 
 
-def test_rounds_stop_under_patience(spark):
-    assert forecast.best_round([5, 4, 3, 3, 3], 2) == 3
-    assert forecast.best_round([5, 4, 6, 6, 1], 2) == 2 and forecast.best_round([5, 4, 6, 6, 1], 4) == 5
-    rng = random.Random(3)
-    data = [(float(rng.randrange(6)), rng.random()) for _ in range(300)]
-    df = spark.createDataFrame([(x, 3 * x + rng.gauss(0, 2)) for x, _ in data], "x double, units_sold double")
-    rows = forecast.VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
-    p = ForecastParams(rounds=60, patience=5, step=0.5, depth=2, min_leaf_rows=1)
-    model = forecast.fit_stopped(rows.limit(200), rows.subtract(rows.limit(200)), p)
-    assert 1 < len(model.trees) < 60
-
-
 # ---- baskets and rules -----------------------------------------------------
 
 
