@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,6 +15,7 @@ from stockweave.functions.quantiles import exact_quantiles, quantile_map
 from stockweave.functions.scalars import mixed_hash
 from stockweave.functions.tiles import matrix, per_tile_pair, squared_distances
 from stockweave.operators.density import density_noise
+from stockweave.operators.lloyd import fit_kmeans
 from stockweave.params import SegmentParams
 from stockweave.session import materialize
 
@@ -52,36 +52,23 @@ def with_vector(scaled: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(scaled)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, restarts: int, p: SegmentParams = SegmentParams()):
-    """Best of ``restarts`` seeded fits by training cost."""
-    fits = [KMeans(k=k, seed=p.seed + i, maxIter=p.max_iter).fit(vectors) for i in range(restarts)]
-    return min(fits, key=lambda m: m.summary.trainingCost)
-
-
 def kmeans_segments(scaled: DataFrame, k: int, p: SegmentParams = SegmentParams()) -> DataFrame:
-    """The scaled rows with ``cluster_id``."""
-    vectors = materialize(with_vector(scaled, p.features), "vectors")
-    model = fit_kmeans(vectors, k, p.restarts, p)
-    return model.transform(vectors).withColumnRenamed("prediction", "cluster_id").drop("features")
+    """The scaled rows with ``cluster_id``: the best of ``restarts`` starts, all in the same scans."""
+    best = fit_kmeans(scaled, p.features, "user_id", {k: p.restarts}, p.seed, p.max_iter)[k]
+    return scaled.withColumn("cluster_id", best.label(p.features))
 
 
 def k_selection(scaled: DataFrame, p: SegmentParams = SegmentParams()) -> DataFrame:
     """(k, inertia, silhouette, best): the smallest k among those with the top silhouette.
 
-    The loop is over the few k; all labelings are then judged together, on all rows.
+    All starts of all k share their scans, and all labelings are then judged together, on all rows.
     """
-    spark = scaled.sparkSession
-    vectors = materialize(with_vector(scaled, p.features), "vectors")
-    labelled, costs = vectors, []
-    for k in p.k_values:
-        model = fit_kmeans(vectors.select("features"), k, p.sweep_restarts, p)
-        labelled = model.transform(labelled).withColumnRenamed("prediction", f"k_{k}")
-        costs.append((k, float(model.summary.trainingCost)))
-    labelled = materialize(labelled.drop("features"), "k_labels")
-    scores = silhouettes(labelled, p.features, [f"k_{k}" for k in p.k_values]).withColumn(
-        "k", F.substring("label", 3, 9).cast("int")
-    )
-    out = materialize(spark.createDataFrame(costs, "k int, inertia double").join(scores, "k"), "k_sweep")
+    fits = fit_kmeans(scaled, p.features, "user_id", {k: p.sweep_restarts for k in p.k_values}, p.seed, p.max_iter)
+    labels = {f"k_{k}": fits[k].label(p.features) for k in p.k_values}
+    labelled = materialize(scaled.select(*p.features, *[c.alias(n) for n, c in labels.items()]), "k_labels")
+    scores = silhouettes(labelled, p.features, list(labels)).withColumn("k", F.substring("label", 3, 9).cast("int"))
+    costs = scaled.sparkSession.createDataFrame([(k, fits[k].cost) for k in p.k_values], "k int, inertia double")
+    out = materialize(costs.join(scores, "k"), "k_sweep")
     best = out.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("b")).scalar()
     return out.select("k", "inertia", "silhouette", (F.col("k") == best).cast("int").alias("best"))
 
