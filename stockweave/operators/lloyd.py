@@ -169,7 +169,8 @@ def lloyd_step(blocks: DataFrame, n_features: int, centers: dict) -> dict:
 def fit_runs(
     rows: DataFrame, features: Sequence[str], key: str, runs: Sequence[int], seed: int, max_iter: int, tol: float = 1e-4
 ) -> list[Clustering]:
-    """A clustering per run; it ends when no centre moves by more than ``tol``, or after ``max_iter`` rounds.
+    """A clustering per run; it ends after ``max_iter`` rounds, or when the squared moves of its centres
+    sum to at most ``tol`` times the features' mean variance.
 
     A cluster that loses all its rows keeps its centre.
     """
@@ -179,6 +180,8 @@ def fit_runs(
     centers = seed_centers(blocks, len(features), runs, seed)
     if any(not len(c) for c in centers):
         raise ValueError("no rows to cluster")
+    spread = rows.agg(*[F.coalesce(F.var_pop(f), F.lit(0.0)) for f in features]).first()
+    still = tol * sum(spread) / len(features)
     moving, costs = set(range(len(runs))), [0.0] * len(runs)
     for _ in range(max_iter):
         found = lloyd_step(blocks, len(features), {r: centers[r] for r in sorted(moving)})
@@ -188,7 +191,7 @@ def fit_runs(
                 n, _, *total = found[r, k]
                 if n:
                     after[k] = np.array(total) / n
-            if ((after - centers[r]) ** 2).sum(1).max() <= tol * tol:
+            if ((after - centers[r]) ** 2).sum() <= still:
                 moving.discard(r)
             centers[r] = after
         if not moving:

@@ -15,12 +15,12 @@ def points(spark, n=600, seed=2):
     return x, spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double")
 
 
-def plain_lloyd(x, centers, rounds=200):
+def plain_lloyd(x, centers, rounds=200, tol=1e-4):
     for _ in range(rounds):
         gaps = ((x[:, None] - centers[None]) ** 2).sum(2)
         near = gaps.argmin(1)
         after = np.array([x[near == k].mean(0) if (near == k).any() else c for k, c in enumerate(centers)])
-        if ((after - centers) ** 2).sum(1).max() <= 1e-8:
+        if ((after - centers) ** 2).sum() <= tol * x.var(0).mean():
             centers = after
             break
         centers = after
