@@ -1,7 +1,9 @@
 """Substring deduplication by runs of consecutive sentences.
 
 Every run of a few consecutive sentences is hashed. The first occurrence of a run over the corpus, by
-document and place, is kept; sentences that lie in any later occurrence of a repeated run go.
+document and place, is kept; sentences that lie in any later occurrence of a repeated run go. Long
+sentences are cut into pieces at words that their own hash chooses, so a passage inside one is cut
+alike wherever it stands, and a run of short ones takes in further ones until it says enough.
 """
 
 from __future__ import annotations
@@ -19,42 +21,122 @@ by_value(__name__)
 
 @dataclass(frozen=True)
 class SentenceParams:
-    """Runs of ``run`` sentences; runs of fewer than ``least_words`` words say too little to count."""
+    """Runs of ``run`` sentences, and of as many more as it takes to ``least_words`` words. A sentence of
+    more than ``longest`` words is cut after each word whose checksum ``cut_modulus`` divides, and after
+    every ``longest`` words since the last cut. ``map_bits``: see ``repeated_bits``."""
 
     run: int = 3
-    least_words: int = 12
+    least_words: int = 30
+    longest: int = 12
+    cut_modulus: int = 6
+    map_bits: int = 27
 
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+#: Full stops of other scripts, which need no white space behind them.
+STOPS = "。！？؟।"
 #: Where a sentence ends: after closing marks and the white space behind them, or after a line feed.
-BOUNDARY = rb"[.!?]+[ \t\r\n]+|\n[ \t\r\n]*"
+BOUNDARY = rb"[.!?]+[ \t\r\n]+|(?:" + "|".join(STOPS).encode() + rb")+[ \t\r\n]*|\n[ \t\r\n]*"
 
 
-def sentences(data: bytes) -> list[bytes]:
-    """The text cut into sentences with the white space behind them; joined, they are the text."""
+def sentences(data: bytes, params: SentenceParams = SentenceParams()) -> list[bytes]:
+    """The text cut into sentences, long ones into pieces, with the white space behind them; joined,
+    they are the text."""
     import re
+    import zlib
 
     edges = [0, *(m.end() for m in re.finditer(BOUNDARY, data)), len(data)]
-    return [data[a:b] for a, b in zip(edges, edges[1:]) if b > a]
+    out = []
+    for a, b in zip(edges, edges[1:]):
+        part = data[a:b]
+        if len(part) <= 2 * params.longest or len(words := part.split()) <= params.longest:
+            if part:
+                out.append(part)
+            continue
+        start, held = 0, 0
+        for word, m in zip(words, re.finditer(rb"[^ \t\n\r\x0b\x0c]+[ \t\n\r\x0b\x0c]*", part)):
+            held += 1
+            if held == params.longest or zlib.crc32(word.translate(LOWER)) % params.cut_modulus == 0:
+                out.append(part[start : m.end()])
+                start, held = m.end(), 0
+        if start < len(part):
+            out.append(part[start:])
+    return out
+
+
+def runs_of(sizes: list[int], params: SentenceParams) -> list[tuple[int, int]]:
+    """(first, end) of every run, given the sentences' words; a text with words but without a run is one."""
+    total = [0]
+    for n in sizes:
+        total.append(total[-1] + n)
+    if len(sizes) < params.run or total[-1] < params.least_words:
+        return [(0, len(sizes))] if total[-1] else []
+    out, end = [], 0
+    for first in range(len(sizes)):
+        end = max(end, first + params.run)
+        while end <= len(sizes) and total[end] - total[first] < params.least_words:
+            end += 1
+        if end > len(sizes):
+            break
+        out.append((first, end))
+    return out
+
+
+def _digests(data: bytes | None, params: SentenceParams) -> list[tuple[int, bytes]]:
+    """(first sentence, 128 bits of hash) of every run of a text."""
+    import xxhash
+
+    words = [s.translate(LOWER).split() for s in sentences(data, params)] if data else []
+    texts = [b" ".join(w) for w in words]
+    runs = runs_of([len(w) for w in words], params)
+    return [(first, xxhash.xxh3_128_digest(b"\n".join(texts[first:end]))) for first, end in runs]
+
+
+def _halves(digests: list[bytes]):
+    import numpy as np
+
+    return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+
+
+def repeated_bits(rows: DataFrame, params: SentenceParams):
+    """A bit map of ``2 ** map_bits`` bits, set for the first bits of hashes that occur more than once.
+
+    Half a hash per run is counted, combined per task before the shuffle. Whatever the corpus, the map
+    is of one size: a fuller one only lets more runs through to the exact count.
+    """
+    import numpy as np
+
+    def run(batch):
+        found = _halves([d for data in batch.column(0).to_pylist() for _, d in _digests(data, params)])
+        return record_batch(high=(found[:, 0], "int64"))
 
+    counts = map_batches(rows.select(utf8("text").alias("data")), run, "high long").groupBy("high").count()
+    place = F.shiftrightunsigned("high", 64 - params.map_bits)
+    bits = counts.filter("count > 1").groupBy(F.shiftright(place, 6).alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(high, {64 - params.map_bits}) & 63 AS INT))")).alias("bits")
+    ).toArrow()
+    out = np.zeros(1 << (params.map_bits - 6), np.int64)
+    out[bits.column("at").to_numpy()] = bits.column("bits").to_numpy()
+    return out
 
-def span_rows(rows: DataFrame, params: SentenceParams) -> DataFrame:
-    """(high, low, doc_id, row, place) of every run of sentences: 128 bits of hash, where it starts."""
+
+def span_rows(rows: DataFrame, params: SentenceParams, bits) -> DataFrame:
+    """(high, low, doc_id, row, place) of the runs that ``bits`` lets through: 128 bits of hash and
+    where the run starts."""
 
     def run(batch):
         import numpy as np
-        import xxhash
 
         digests, owners, places = [], [], []
         for k, data in enumerate(batch.column(2).to_pylist()):
-            words = [s.translate(LOWER).split() for s in sentences(data)] if data else []
-            texts, sizes = [b" ".join(w) for w in words], [len(w) for w in words]
-            for i in range(len(words) - params.run + 1):
-                if sum(sizes[i : i + params.run]) >= params.least_words:
-                    digests.append(xxhash.xxh3_128_digest(b"\n".join(texts[i : i + params.run])))
-                    owners.append(k)
-                    places.append(i)
-        both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            for first, digest in _digests(data, params):
+                digests.append(digest)
+                owners.append(k)
+                places.append(first)
+        both = _halves(digests)
+        at = both[:, 0].view(np.uint64) >> np.uint64(64 - params.map_bits)
+        keep = (bits[at >> np.uint64(6)].view(np.uint64) >> (at & np.uint64(63))) & np.uint64(1) == 1
+        both, owners, places = both[keep], np.array(owners, np.int64)[keep], np.array(places, np.int32)[keep]
         index = record_batch(k=(owners, "int64")).column(0)
         return record_batch(
             high=(both[:, 0], "int64"), low=(both[:, 1], "int64"), doc_id=(batch.column(0).take(index), None),
@@ -67,8 +149,11 @@ def span_rows(rows: DataFrame, params: SentenceParams) -> DataFrame:
 
 
 def later_occurrences(rows: DataFrame, params: SentenceParams) -> DataFrame:
-    """(row, starts) of every row with runs that occurred before, in order of doc_id, row and place."""
-    spans = materialize(span_rows(rows, params), "spans")
+    """(row, starts) of every row with runs that occurred before, in order of doc_id, row and place.
+
+    Texts are cut twice: most runs occur once, and writing or sending those costs more than their hashes.
+    """
+    spans = materialize(span_rows(rows, params, repeated_bits(rows, params)), "spans")
     key = ["high", "low"]
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "place")
     # Counts and first places add up per task before the shuffle, so a hot run is a row per task.
@@ -89,7 +174,8 @@ def dedup_sentences(docs: DataFrame, params: SentenceParams = SentenceParams(),
     occurrences), kept_sha256 (of the UTF-8 text left) and, with ``with_text``, kept_text. Sentences
     compare by their words, A-Z lower-cased. The first occurrence is that of the smallest doc_id,
     then place; rows without an id come last, and of equal ids any one row is first. Null and empty
-    texts have no sentences and keep nothing; texts of fewer sentences than a run lose nothing.
+    texts have no sentences and keep nothing; a text of fewer sentences or words than a run counts as
+    one run, unless it has no word. Pieces of long sentences count as sentences.
     """
     rows = numbered(docs.select("doc_id", F.col("text").cast("string").alias("text")), "numbered_docs", "row")
     starts = later_occurrences(rows, params)
@@ -99,8 +185,9 @@ def dedup_sentences(docs: DataFrame, params: SentenceParams = SentenceParams(),
 
         counts, removed, spans, digests, texts = [], [], [], [], []
         for data, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            parts = sentences(data) if data else []
-            gone = {s + k for s in at or () for k in range(params.run)}
+            parts = sentences(data, params) if data else []
+            ends = dict(runs_of([len(p.split()) for p in parts], params)) if at else {}
+            gone = {i for first in at or () for i in range(first, ends[first])}
             kept = b"".join([p for i, p in enumerate(parts) if i not in gone]) if gone else data or b""
             counts.append(len(parts))
             removed.append(len(gone))

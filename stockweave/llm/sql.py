@@ -6,7 +6,7 @@ from stockweave.llm.decontaminate import WINDOW
 from stockweave.llm.importance import ImportanceParams, crc_table
 from stockweave.llm.licenses import TEMPLATES
 from stockweave.llm.secrets import BASE_KINDS, RULES
-from stockweave.llm.sentences import SentenceParams
+from stockweave.llm.sentences import STOPS, SentenceParams
 from stockweave.llm.spelling import SpellingParams
 
 
@@ -112,25 +112,47 @@ FROM rows LEFT JOIN sums USING (r)"""
 
 
 def sentence_sql(params: SentenceParams = SentenceParams()) -> str:
-    n = params.run
-    blank = "[ \\t\\n\\r\\x0b\\x0c]+"
+    blank = "\\t\\n\\r\\x0b\\x0c "
+    ends = f"(?:[.!?]+[ \\t\\r\\n]+|[{STOPS}]+[ \\t\\r\\n]*|\\n[ \\t\\r\\n]*|$)"
+    key = f"array_to_string(list_filter(string_split_regex({lower('p')}, '[{blank}]+'), lambda x: x <> ''), ' ')"
     return f"""
 WITH {ROWS},
-parts AS (
-  SELECT r, doc_id, i, p, list_filter(string_split_regex({lower('p')}, '{blank}'), lambda x: x <> '') AS w
+whole AS (
+  SELECT r, doc_id, i, p, regexp_extract_all(p, '[{blank}]*[^{blank}]+[{blank}]*') AS t
   FROM (SELECT r, doc_id, unnest(range(1, len(ps) + 1)) AS i, unnest(ps) AS p FROM (
-    SELECT r, doc_id, list_filter(regexp_extract_all(text, '(?s).*?(?:[.!?]+[ \\t\\r\\n]+|\\n[ \\t\\r\\n]*|$)'), lambda x: x <> '') AS ps
-    FROM rows))),
-joined AS (SELECT r, doc_id, i, p, len(w) AS n, array_to_string(w, ' ') AS k FROM parts),
+    SELECT r, doc_id, list_filter(regexp_extract_all(text, '(?s).*?{ends}'), lambda x: x <> '') AS ps FROM rows))),
+tokens AS (
+  SELECT r, doc_id, i, unnest(range(1, len(t) + 1)) AS j, unnest(t) AS t FROM whole WHERE len(t) > {params.longest}),
+hashes AS (SELECT w, {crc32('w')} % {params.cut_modulus} = 0 AS cut FROM (SELECT DISTINCT {lower(f"regexp_extract(t, '[^{blank}]+')")} AS w FROM tokens)),
+segments AS (
+  SELECT r, doc_id, i, j, t, coalesce(sum(cut::INTEGER) OVER (PARTITION BY r, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg
+  FROM tokens JOIN hashes ON w = {lower(f"regexp_extract(t, '[^{blank}]+')")}),
+chunks AS (
+  SELECT *, (row_number() OVER (PARTITION BY r, i, seg ORDER BY j) - 1) // {params.longest} AS c FROM segments),
+parts AS (
+  SELECT r, doc_id, i, 0 AS j, p FROM whole WHERE len(t) <= {params.longest}
+  UNION ALL SELECT r, doc_id, i, min(j), string_agg(t, '' ORDER BY j) FROM chunks GROUP BY r, doc_id, i, seg, c),
+joined AS (
+  SELECT r, doc_id, row_number() OVER (PARTITION BY r ORDER BY i, j) AS i, p, {key} AS k FROM parts),
+sized AS (
+  SELECT *, CASE WHEN k = '' THEN 0 ELSE len(string_split(k, ' ')) END AS n FROM joined),
+summed AS (SELECT *, sum(n) OVER (PARTITION BY r ORDER BY i) AS upto FROM sized),
+docs AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS m, sum(n) AS n, list(k ORDER BY i) AS ks FROM sized GROUP BY r),
+reached AS (SELECT r, upto, min(i) AS i FROM summed GROUP BY r, upto),
+ends AS (
+  SELECT s.r, s.i, greatest(e.i, s.i + {params.run - 1}) AS last
+  FROM (SELECT r, i, upto - n + {params.least_words} AS wanted FROM summed) s
+  ASOF JOIN reached e ON s.r = e.r AND s.wanted <= e.upto),
 runs AS (
-  SELECT r, doc_id, i, {" || chr(10) || ".join("k" if j == 0 else f"lead(k, {j}) OVER o" for j in range(n))} AS run,
-    {" + ".join("n" if j == 0 else f"lead(n, {j}) OVER o" for j in range(n))} AS n
-  FROM joined WINDOW o AS (PARTITION BY r ORDER BY i)),
+  SELECT r, doc_id, i, last, array_to_string(ks[i : last], chr(10)) AS run FROM ends JOIN docs USING (r)
+  WHERE last <= m AND m >= {params.run} AND n >= {params.least_words}
+  UNION ALL SELECT r, doc_id, 1, m, array_to_string(ks, chr(10)) FROM docs
+  WHERE n > 0 AND (m < {params.run} OR n < {params.least_words})),
 later AS (
-  SELECT r, i FROM (
-    SELECT r, i, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS LAST, r, i) AS place
-    FROM runs WHERE run IS NOT NULL AND n >= {params.least_words}) WHERE place > 1),
-gone AS (SELECT DISTINCT r, unnest(range(i, i + {n})) AS i FROM later),
+  SELECT r, i, last FROM (
+    SELECT r, i, last, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS LAST, r, i) AS place FROM runs)
+  WHERE place > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, last + 1)) AS i FROM later),
 kept AS (
   SELECT j.r, count(*) AS n_sentences, count(g.i) AS n_removed, coalesce(string_agg(p, '' ORDER BY j.i) FILTER (WHERE g.i IS NULL), '') AS t
   FROM joined j LEFT JOIN gone g ON g.r = j.r AND g.i = j.i GROUP BY j.r),

@@ -145,17 +145,21 @@ def plain_sentences(rows, params):
     """(doc, sentences, removed) by going through all documents in order."""
     seen, out = set(), {}
     for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        parts = sentences(text.encode()) if text else []
+        parts = sentences(text.encode(), params) if text else []
         keys = [b" ".join(p.lower().split()) for p in parts]
-        gone, fresh = set(), set()
-        for i in range(len(parts) - params.run + 1):
-            key = tuple(keys[i : i + params.run])
-            if sum(len(k.split()) for k in key) < params.least_words:
-                continue
-            if key in seen or key in fresh:
-                gone |= set(range(i, i + params.run))
-            fresh.add(key)
-        seen |= fresh
+        sizes = [len(k.split()) for k in keys]
+        runs = []
+        for i in range(len(parts)):
+            ends = [j for j in range(i + params.run, len(parts) + 1) if sum(sizes[i:j]) >= params.least_words]
+            runs += [(i, ends[0])] if ends else []
+        if not runs and sum(sizes):
+            runs = [(0, len(parts))]
+        gone = set()
+        for i, j in runs:
+            key = tuple(keys[i:j])
+            if key in seen:
+                gone |= set(range(i, j))
+            seen.add(key)
         kept = b"".join(p for i, p in enumerate(parts) if i not in gone)
         out[doc] = (len(parts), len(gone), hashlib.sha256(kept).hexdigest())
     return out
@@ -163,28 +167,48 @@ def plain_sentences(rows, params):
 
 def test_sentences_equal_plain_search(docs):
     rnd = random.Random(6)
-    stock = ["A b c d e.", "F g h i j! ", "Klm n o p\n", "q r s t?? ", "U v 3.14 w x. ", "Short. ", "z z z z z z. "]
+    stock = ["A b c d e.", "F g h i j! ", "Klm n o p\n", "q r s t?? ", "U v 3.14 w x. ", "Short. ", "z z z z z z. ", "日本語。", "!! "]
     rows = [(i, "".join(rnd.choice(stock) for _ in range(rnd.randint(0, 14)))) for i in range(40)]
-    params = SentenceParams(least_words=9)
-    got = dedup_sentences(with_clashes(docs(rows), "row", "place", "starts"), params, with_text=True).collect()
-    want = plain_sentences(rows, params)
-    assert {r.doc_id: (r.n_sentences, r.n_removed, r.kept_sha256) for r in got} == want
-    assert sum(r.n_removed for r in got) > 20
-    assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in got)
+    rows += [(50 + i, " ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(1, 60)))) for i in range(40)]
+    for params in (SentenceParams(least_words=9), SentenceParams(least_words=9, longest=4, cut_modulus=2, map_bits=6)):
+        got = dedup_sentences(with_clashes(docs(rows), "row", "place", "starts"), params, with_text=True).collect()
+        want = plain_sentences(rows, params)
+        assert {r.doc_id: (r.n_sentences, r.n_removed, r.kept_sha256) for r in got} == want
+        assert sum(r.n_removed for r in got) > 20
+        assert all(hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256 for r in got)
 
 
 def test_sentences_rejoin():
-    for text in ("", "a", "a. b! c?\n\n d", "\n\nx. ", "3.14 is. e.g. that", "..."):
-        assert b"".join(sentences(text.encode())) == text.encode()
+    rnd = random.Random(8)
+    long = "".join(rnd.choice(["word ", "other\t", "third  ", "x\x0b", "\u00a0", "no-break ", "é"]) for _ in range(500))
+    for text in ("", "a", "a. b! c?\n\n d", "\n\nx. ", "3.14 is. e.g. that", "...", long, " " * 50, "一。二！三"):
+        parts = sentences(text.encode())
+        assert b"".join(parts) == text.encode() and all(len(p.split()) <= 12 for p in parts)
+
+
+def test_a_passage_is_found_wherever_it_stands(docs):
+    """One sentence, short sentences, inside a longer sentence: over 50 words."""
+    rnd = random.Random(3)
+
+    def words(n):
+        return ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+
+    passage = words(80)
+    shouted = [w + "!!" for w in words(80)]
+    rows = [(1, " ".join(passage)), (2, " ".join([*words(30), *passage, *words(30)])), (3, " ".join(words(200))),
+            (4, " ".join(shouted)), (5, "Before. " + " ".join([*words(7), *shouted]) + " after"), (6, "Two words."), (7, "Two words.")]
+    got = {r.doc_id: r.kept_text for r in dedup_sentences(docs(rows), with_text=True).collect()}
+    assert [got[i] for i in (1, 3, 4, 6)] == [dict(rows)[i] for i in (1, 3, 4, 6)] and got[7] == ""
+    assert len(got[2].split()) < 60 + 30 and len(got[5].split()) < 40
 
 
 def test_sentences_of_awkward_rows(docs, awkward):
-    rows = dedup_sentences(awkward).collect()
-    assert len(rows) == awkward.count() and not sum(r.n_removed for r in rows)
+    rows = {(r.doc_id, r.n_sentences, r.n_removed) for r in dedup_sentences(awkward).collect()}
+    assert {r for r in rows if r[2]} == {(4, 1, 1), (None, 1, 1), (5, 5000, 4999)}  # later copies, one word repeated
     assert dedup_sentences(awkward.limit(0)).count() == 0
-    passage = "One two three four five. Six seven eight nine. Ten eleven twelve and so on. "
-    copies = dedup_sentences(docs([(1, passage), (1, passage), (None, passage), (2, "Before. " + passage)]), with_text=True)
-    assert sorted(r.kept_text for r in copies.collect()) == ["", "", "Before. ", passage]
+    passage = "One two three four five. Six seven eight nine. Ten eleven twelve and so on. " * 2
+    copies = dedup_sentences(docs([(1, passage), (1, passage), (None, passage), (2, passage + "After. ")]), with_text=True)
+    assert sorted(r.kept_text for r in copies.collect()) == ["", "", "After. ", passage]
 
 
 def test_suffix_array_equals_sorting():
