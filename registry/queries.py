@@ -569,6 +569,12 @@ def _(spark, d):
     return forecast.feature_importance(forecast.fit_boosted(rows, FORECAST), FORECAST)
 
 
+@query("feature_attribution")
+def _(spark, d):
+    rows = materialize(model_rows(spark, d), "model_rows")
+    return forecast.feature_attribution(forecast.fit_boosted(rows, FORECAST))
+
+
 # ---- baskets and rules -----------------------------------------------------
 
 

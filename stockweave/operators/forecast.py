@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stockweave.functions.ordering import daily_positions, ranked
 from stockweave.functions.quantiles import exact_quantiles
 from stockweave.functions.scalars import half_even_int, mixed_hash, percentage_error
+from stockweave.operators.attribution import attributed
 from stockweave.operators.boosting import BoostedTrees, BoostParams, Run, boost
 from stockweave.operators.demand import SERIES
 from stockweave.params import ForecastParams
@@ -202,3 +203,19 @@ def feature_importance(fit: BoostedForecast, p: ForecastParams = ForecastParams(
         (F.col("m") - base).alias("mape_increase"),
     )
     return gains.join(rise, "feature").orderBy(F.desc("gain"), "feature")
+
+
+def row_attributions(features: DataFrame, fit: BoostedForecast) -> DataFrame:
+    """``features`` with ``contributions`` (one per model input) and ``expected``: they sum to the prediction."""
+    size = len(fit.model.features)
+    both = features.withColumn("_all", attributed(fit.model))
+    return both.withColumn("contributions", F.slice("_all", 1, size)).withColumn("expected", F.col("_all")[size]).drop("_all")
+
+
+def feature_attribution(fit: BoostedForecast) -> DataFrame:
+    """(feature, mean_contribution): mean absolute contribution over all rows the folds are cut from."""
+    names = fit.model.features
+    rows = row_attributions(fit.rows, fit)
+    wide = rows.agg(*[F.avg(F.abs(F.col("contributions")[i])).alias(f"c{i}") for i in range(len(names))])
+    cells = [F.struct(F.lit(n).alias("feature"), F.col(f"c{i}").alias("mean_contribution")) for i, n in enumerate(names)]
+    return wide.select(F.inline(F.array(*cells))).orderBy(F.desc("mean_contribution"), "feature")

@@ -266,6 +266,7 @@ def test_boosted_trees_learn_and_explain(spark):
     assert out.filter("forecast_units < 0").count() == 0
     first = forecast.feature_importance(fit, p).first()
     assert first.feature == "lag_7d" and first.mape_increase > 10
+    assert forecast.feature_attribution(fit).first().feature == "lag_7d"
     report = forecast.fold_report(fit).orderBy("test_fold").collect()
     assert [r.test_fold for r in report] == [1, 2, 3, 4, 5] and all(r.improvement_pct > 0 for r in report)
     one = forecast.fit_boosted(df, replace(p, rounds=1))

@@ -46,5 +46,5 @@ def test_contract():
     unchecked = set(entry.queries()) - set(entry.OPTIONAL) - set(entry.oracle_sql())
     assert unchecked == {
         "kmeans_segments", "k_selection", "segment_labels", "pca_projection", "gbt_forecast",
-        "gbt_fold_report", "feature_importance",
+        "gbt_fold_report", "feature_importance", "feature_attribution",
     }
