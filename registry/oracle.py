@@ -282,7 +282,7 @@ CTES["context_days"] = """
     SELECT date AS order_date, days_to_festival,
            CASE WHEN is_festival = 1 THEN 'festival_soon' WHEN is_ipl_match_day = 1 THEN 'ipl_season'
                 WHEN is_monsoon = 1 THEN 'monsoon' ELSE 'normal' END AS event_context FROM cal"""
-CTES["fc_until"] = "SELECT * FROM fc WHERE order_date <= DATE '2001-07-29'"
+CTES["fc_until"] = "SELECT * FROM fc WHERE order_date <= DATE '1999-10-20'"
 CTES["acts_as_of"] = ACTIONS.format(rows="""
     (SELECT * FROM fc_until QUALIFY row_number() OVER (PARTITION BY store_id, product_name ORDER BY order_date DESC) = 1)
     JOIN (SELECT store_id, product_name, CAST(round_even(avg(units_sold) * CAST(0.8 AS DOUBLE), 0) AS INTEGER) AS current_stock
@@ -498,6 +498,22 @@ twin("forecast_hit_rate", """
     CROSS JOIN (SELECT quantile_cont(units_sold - rolling_30d_mean, 0.1) AS lo,
                        quantile_cont(units_sold - rolling_30d_mean, 0.9) AS hi
                 FROM folds WHERE coalesce(test_fold, 0) <> 5)""")
+twin("interval_hit_rate", """
+    SELECT decile, count(*) AS test_rows, round(avg(CASE WHEN a <= coalesce(band, wide) THEN 1 ELSE 0 END), 6) AS hit_rate,
+           round(avg(coalesce(band, wide)), 6) AS mean_band
+    FROM (SELECT *, abs(units_sold - rolling_30d_mean) AS a FROM folds WHERE test_fold = 5)
+    CROSS JOIN (SELECT quantile_cont(abs(units_sold - rolling_30d_mean), 0.8) AS wide FROM folds WHERE coalesce(test_fold, 0) <> 5)
+    LEFT JOIN (SELECT store_id, product_name, a AS band FROM (
+        SELECT store_id, product_name, abs(units_sold - rolling_30d_mean) AS a,
+               row_number() OVER (PARTITION BY store_id, product_name ORDER BY abs(units_sold - rolling_30d_mean)) AS i,
+               count(*) OVER (PARTITION BY store_id, product_name) AS n
+        FROM folds WHERE coalesce(test_fold, 0) <> 5)
+      WHERE i = CAST(ceil((n + 1) * CAST(0.8 AS DOUBLE)) AS BIGINT)) USING (store_id, product_name)
+    LEFT JOIN (SELECT store_id, product_name,
+                      CAST((row_number() OVER (ORDER BY units, store_id, product_name) - 1) * 10 // count(*) OVER () AS INTEGER) AS decile
+               FROM (SELECT store_id, product_name, sum(units_sold) AS units FROM folds WHERE coalesce(test_fold, 0) <> 5 GROUP BY ALL))
+      USING (store_id, product_name)
+    GROUP BY decile""")
 
 # ---- baskets and rules
 twin("basket_enriched", f"SELECT order_id, user_id, product_name, {SLICE} FROM enr")

@@ -40,7 +40,7 @@ MINING = MiningParams(min_orders=100)
 CAPPED = replace(MINING, max_orders=150, top_items=50)
 FORECAST = ForecastParams()
 GENERATED_AT = datetime(2001, 8, 1, 9, 30)
-FESTIVAL_DAY = date(2001, 7, 29)
+FESTIVAL_DAY = date(1999, 10, 20)
 LAST_DAY = date(2001, 6, 30)
 
 
@@ -551,6 +551,13 @@ def _(spark, d):
     return rounded(forecast.forecast_hit_rate(folds, F.col("rolling_30d_mean")))
 
 
+@query("interval_hit_rate")
+def _(spark, d):
+    rows = materialize(demand.lag_features(spine(spark, d)), "lagged")
+    folds = materialize(forecast.time_series_folds(rows, FORECAST), "folds")
+    return rounded(forecast.interval_hit_rate(folds, F.col("rolling_30d_mean")))
+
+
 @query("gbt_forecast")
 def _(spark, d):
     rows = materialize(model_rows(spark, d), "model_rows")
