@@ -11,7 +11,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp": "TIMESTAMP"}
+TYPES = {"timestamp_ntz": "TIMESTAMP", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
