@@ -35,87 +35,139 @@ class SentenceParams:
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Full stops of other scripts, which need no white space behind them.
 STOPS = "。！？؟।"
-#: Where a sentence ends: after closing marks and the white space behind them, or after a line feed.
-BOUNDARY = rb"[.!?]+[ \t\r\n]+|(?:" + "|".join(STOPS).encode() + rb")+[ \t\r\n]*|\n[ \t\r\n]*"
+#: Where a sentence ends: after a closing mark and the white space behind it, or after a line feed. Every
+#: branch begins with a byte of its own, so the search skips from one such byte to the next.
+BOUNDARY = b"|".join(
+    [mark + rb"[ \t\r\n]+" for mark in (rb"\.", rb"!", rb"\?")] + [rb"\n[ \t\r\n]*"]
+    + [stop.encode() + rb"(?:" + "|".join(STOPS).encode() + rb")*[ \t\r\n]*" for stop in STOPS]
+)
 
 
-def sentences(data: bytes, params: SentenceParams = SentenceParams()) -> list[bytes]:
-    """The text cut into sentences, long ones into pieces, with the white space behind them; joined,
-    they are the text."""
-    import re
-    import zlib
-
-    edges = [0, *(m.end() for m in re.finditer(BOUNDARY, data)), len(data)]
-    out = []
-    for a, b in zip(edges, edges[1:]):
-        part = data[a:b]
-        if len(part) <= 2 * params.longest or len(words := part.split()) <= params.longest:
-            if part:
-                out.append(part)
-            continue
-        start, held = 0, 0
-        for word, m in zip(words, re.finditer(rb"[^ \t\n\r\x0b\x0c]+[ \t\n\r\x0b\x0c]*", part)):
-            held += 1
-            if held == params.longest or zlib.crc32(word.translate(LOWER)) % params.cut_modulus == 0:
-                out.append(part[start : m.end()])
-                start, held = m.end(), 0
-        if start < len(part):
-            out.append(part[start:])
-    return out
+#: Bits of a run's hash that the first count goes by; the fewer, the less is shuffled.
+KEY_BITS = 40
 
 
-def runs_of(sizes: list[int], params: SentenceParams) -> list[tuple[int, int]]:
-    """(first, end) of every run, given the sentences' words; a text with words but without a run is one."""
-    total = [0]
-    for n in sizes:
-        total.append(total[-1] + n)
-    if len(sizes) < params.run or total[-1] < params.least_words:
-        return [(0, len(sizes))] if total[-1] else []
-    out, end = [], 0
-    for first in range(len(sizes)):
-        end = max(end, first + params.run)
-        while end <= len(sizes) and total[end] - total[first] < params.least_words:
-            end += 1
-        if end > len(sizes):
-            break
-        out.append((first, end))
-    return out
+def long_cuts(part: bytes, words: list[bytes], params: SentenceParams) -> tuple[list[int], list[int]]:
+    """(words, bytes) before the end of each piece of a long sentence."""
+    import re
+    from itertools import accumulate
+    from zlib import crc32
+
+    modulus, longest, n = params.cut_modulus, params.longest, len(words)
+    ends, last = [], 0
+    for i in [*[i for i, w in enumerate(words, 1) if crc32(w) % modulus == 0], n]:
+        while i - last > longest:
+            last += longest
+            ends.append(last)
+        if i > last:
+            ends.append(i)
+            last = i
+    if part.startswith(b" ".join(words)):  # one space between words
+        upto = list(accumulate(map(len, words)))
+        places = [upto[i - 1] + i for i in ends]
+    else:
+        upto = [m.end() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+[ \t\n\r\x0b\x0c]*", part)]
+        places = [upto[i - 1] for i in ends]
+    places[-1] = len(part)
+    return ends, places
+
+
+def pieces(data: bytes, params: SentenceParams) -> tuple[list[int], list[int], list[bytes]]:
+    """(end, number of words, words joined by a space) of every sentence, long ones cut into pieces."""
+    import re
+
+    lowered = data.translate(LOWER)
+    ends, sizes, texts = [], [], []
+    a = 0
+    for b in [*[m.end() for m in re.finditer(BOUNDARY, data)], len(data)]:
+        if b == a:
+            continue
+        part = lowered[a:b]
+        words = part.split()
+        if len(words) <= params.longest:
+            ends.append(b)
+            sizes.append(len(words))
+            texts.append(b" ".join(words))
+        else:
+            first = 0
+            for end, place in zip(*long_cuts(part, words, params)):
+                ends.append(a + place)
+                sizes.append(end - first)
+                texts.append(b" ".join(words[first:end]))
+                first = end
+        a = b
+    return ends, sizes, texts
 
 
-def _digests(data: bytes | None, params: SentenceParams) -> list[tuple[int, bytes]]:
-    """(first sentence, 128 bits of hash) of every run of a text."""
-    import xxhash
+def sentences(data: bytes, params: SentenceParams = SentenceParams()) -> list[bytes]:
+    """The text cut into sentences, long ones into pieces, with the white space behind them; joined,
+    they are the text."""
+    ends = pieces(data, params)[0]
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
-    words = [s.translate(LOWER).split() for s in sentences(data, params)] if data else []
-    texts = [b" ".join(w) for w in words]
-    runs = runs_of([len(w) for w in words], params)
-    return [(first, xxhash.xxh3_128_digest(b"\n".join(texts[first:end]))) for first, end in runs]
 
+def runs_of(sizes: list[int], counts: list[int], params: SentenceParams):
+    """(text, first, end) arrays of every run of a batch of texts: ``sizes`` are the sentences' words, one
+    text after another, ``counts`` the texts' sentences. A text with words but without a run is one."""
+    import numpy as np
 
-def _halves(digests: list[bytes]):
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    counts = np.array(counts, np.int64)
+    limit = np.cumsum(counts)
+    begin = limit - counts
+    text, first = np.repeat(np.arange(len(counts)), counts), np.arange(len(sizes))
+    end = np.maximum(first + params.run, np.searchsorted(total, total[:-1] + params.least_words))
+    whole = end <= limit[text]
+    text, first, end = text[whole], first[whole], end[whole]
+    short = np.flatnonzero((np.bincount(text, minlength=len(counts)) == 0) & (total[limit] > total[begin]))
+    return np.append(text, short), np.append(first, begin[short]), np.append(end, limit[short])
+
+
+def cut_all(texts: list[bytes | None], params: SentenceParams):
+    """``pieces`` of all texts, one after another, and how many each has."""
+    ends, sizes, joined, counts = [], [], [], []
+    for data in texts:
+        found = pieces(data, params) if data else ((), (), ())
+        ends += found[0]
+        sizes += found[1]
+        joined += found[2]
+        counts.append(len(found[0]))
+    return ends, sizes, joined, counts
+
+
+def run_hashes(texts: list[bytes | None], params: SentenceParams):
+    """(128 bits of hash as two longs, text, first sentence) arrays of every run of the texts."""
     import numpy as np
+    from xxhash import xxh3_128_digest
 
-    return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    _, sizes, joined, counts = cut_all(texts, params)
+    text, first, end = runs_of(sizes, counts, params)
+    at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in joined], dtype=np.int64)])
+    data = b"\n".join(joined)
+    digests = [xxh3_128_digest(data[a:b]) for a, b in zip(at[first].tolist(), (at[end] - 1).tolist())]
+    both = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    begin = np.cumsum(counts, dtype=np.int64) - np.array(counts, np.int64)
+    return both, text, first - begin[text]
 
 
 def repeated_bits(rows: DataFrame, params: SentenceParams):
     """A bit map of ``2 ** map_bits`` bits, set for the first bits of hashes that occur more than once.
 
-    Half a hash per run is counted, combined per task before the shuffle. Whatever the corpus, the map
-    is of one size: a fuller one only lets more runs through to the exact count.
+    ``KEY_BITS`` of a run's hash are counted, combined per task before the shuffle. Whatever the corpus,
+    the map is of one size: a fuller one only lets more runs through to the exact count.
     """
     import numpy as np
 
     def run(batch):
-        found = _halves([d for data in batch.column(0).to_pylist() for _, d in _digests(data, params)])
-        return record_batch(high=(found[:, 0], "int64"))
+        high = run_hashes(batch.column(0).to_pylist(), params)[0][:, 0].view(np.uint64)
+        return record_batch(key=((high >> np.uint64(64 - KEY_BITS)).view(np.int64), "int64"))
 
-    counts = map_batches(rows.select(utf8("text").alias("data")), run, "high long").groupBy("high").count()
-    place = F.shiftrightunsigned("high", 64 - params.map_bits)
+    counts = map_batches(rows.select(utf8("text").alias("data")), run, "key long").groupBy("key").count()
+    place = F.shiftright("key", KEY_BITS - params.map_bits)
     bits = counts.filter("count > 1").groupBy(F.shiftright(place, 6).alias("at")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(high, {64 - params.map_bits}) & 63 AS INT))")).alias("bits")
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftright(key, {KEY_BITS - params.map_bits}) & 63 AS INT))")).alias("bits")
     ).toArrow()
-    out = np.zeros(1 << (params.map_bits - 6), np.int64)
+    out = np.zeros(1 << max(params.map_bits - 6, 0), np.int64)
     out[bits.column("at").to_numpy()] = bits.column("bits").to_numpy()
     return out
 
@@ -127,16 +179,10 @@ def span_rows(rows: DataFrame, params: SentenceParams, bits) -> DataFrame:
     def run(batch):
         import numpy as np
 
-        digests, owners, places = [], [], []
-        for k, data in enumerate(batch.column(2).to_pylist()):
-            for first, digest in _digests(data, params):
-                digests.append(digest)
-                owners.append(k)
-                places.append(first)
-        both = _halves(digests)
+        both, owners, places = run_hashes(batch.column(2).to_pylist(), params)
         at = both[:, 0].view(np.uint64) >> np.uint64(64 - params.map_bits)
         keep = (bits[at >> np.uint64(6)].view(np.uint64) >> (at & np.uint64(63))) & np.uint64(1) == 1
-        both, owners, places = both[keep], np.array(owners, np.int64)[keep], np.array(places, np.int32)[keep]
+        both, owners, places = both[keep], owners[keep], places[keep]
         index = record_batch(k=(owners, "int64")).column(0)
         return record_batch(
             high=(both[:, 0], "int64"), low=(both[:, 1], "int64"), doc_id=(batch.column(0).take(index), None),
@@ -161,6 +207,8 @@ def later_occurrences(rows: DataFrame, params: SentenceParams) -> DataFrame:
         spans.groupBy(*key).agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1")
         .select(*key, F.col("first.row").alias("first_row"), F.col("first.place").alias("first_place"))
     )
+    # Written, so that Spark may split a hot run's rows in the join: it can't below an aggregate.
+    repeated = materialize(repeated, "repeated")
     later = spans.select(*key, "row", "place").join(repeated, key).filter(
         (F.col("row") != F.col("first_row")) | (F.col("place") != F.col("first_place"))
     )
@@ -177,23 +225,38 @@ def dedup_sentences(docs: DataFrame, params: SentenceParams = SentenceParams(),
     texts have no sentences and keep nothing; a text of fewer sentences or words than a run counts as
     one run, unless it has no word. Pieces of long sentences count as sentences.
     """
-    rows = numbered(docs.select("doc_id", F.col("text").cast("string").alias("text")), "numbered_docs", "row")
+    rows = numbered(docs.select("doc_id", F.col("text").cast("string").alias("text")), "numbered_docs", "row", "zstd")
     starts = later_occurrences(rows, params)
 
     def cut(batch):
         import hashlib
 
-        counts, removed, spans, digests, texts = [], [], [], [], []
-        for data, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            parts = sentences(data, params) if data else []
-            ends = dict(runs_of([len(p.split()) for p in parts], params)) if at else {}
-            gone = {i for first in at or () for i in range(first, ends[first])}
-            kept = b"".join([p for i, p in enumerate(parts) if i not in gone]) if gone else data or b""
-            counts.append(len(parts))
-            removed.append(len(gone))
-            spans.append(len(at or ()))
+        import numpy as np
+
+        data_of, starts_of = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        stops, sizes, _, counts = cut_all(data_of, params)
+        _, first, end = runs_of(sizes, counts, params)
+        end_of = np.zeros(len(sizes), np.int64)
+        end_of[first] = end
+        removed, digests, texts = [], [], []
+        base = 0  # sentences of the texts before
+        for data, at, count in zip(data_of, starts_of, counts):
+            data = data or b""
+            kept, n_removed = data, 0
+            if at:
+                places = [0, *stops[base : base + count]]
+                left, upto = [], 0
+                for start in sorted(at):
+                    left.append(data[places[upto] : places[max(start, upto)]])
+                    reach = int(end_of[base + start]) - base
+                    n_removed += reach - max(start, upto)
+                    upto = reach
+                kept = b"".join([*left, data[places[upto] :]])
+            base += count
+            removed.append(n_removed)
             digests.append(hashlib.sha256(kept).hexdigest())
             texts.append(kept.decode() if with_text else None)
+        spans = [len(at or ()) for at in starts_of]
         columns = dict(
             doc_id=(batch.column(0), None), n_sentences=(counts, "int64"), n_removed=(removed, "int64"),
             n_spans=(spans, "int64"), kept_sha256=(digests, "string"),

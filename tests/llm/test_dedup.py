@@ -2,16 +2,19 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import with_clashes
 from stockweave.llm.components import connected_components, local_roots
-from stockweave.llm.sentences import SentenceParams, dedup_sentences, sentences
+from stockweave.llm.sentences import SentenceParams, dedup_sentences, later_occurrences, sentences
 from stockweave.llm.simhash import SimHashParams, fingerprint, keep_one_of_each, links, linked, near_duplicates
 from stockweave.llm.substrings import Anchors, SubstringParams, dedup_substrings, repeated_windows
 from stockweave.llm.suffixes import suffix_array
+from stockweave.session import RUNTIME_SETTINGS
 
 
 def roots_of(n, edges):
@@ -186,6 +189,34 @@ def test_sentences_rejoin():
         assert b"".join(parts) == text.encode() and all(len(p.split()) <= 12 for p in parts)
 
 
+def test_marks_without_white_space_take_time_by_their_length():
+    began = time.process_time()
+    assert sentences(b"." * 400_000) == [b"." * 400_000]
+    assert sentences("?!.。。 x".encode() * 2) == ["?!.。。 ".encode(), "x?!.。。 ".encode(), b"x"]
+    assert time.process_time() - began < 5
+
+
+def test_rows_of_a_hot_run_are_split(spark, docs):
+    """The join of later runs spreads one run's rows over many tasks."""
+    small = RUNTIME_SETTINGS | {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    rows = docs([(i, f"The very same words for every document. Number {i % 400}.") for i in range(4000)])
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        found = later_occurrences(rows.repartition(8).withColumn("row", F.col("doc_id")), SentenceParams(run=1, least_words=5))
+        assert found.count() == 3999
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_a_passage_is_found_wherever_it_stands(docs):
     """One sentence, short sentences, inside a longer sentence: over 50 words."""
     rnd = random.Random(3)
