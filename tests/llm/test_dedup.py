@@ -12,7 +12,7 @@ from conftest import with_clashes
 from stockweave.llm.components import connected_components, local_roots
 from stockweave.llm.sentences import SentenceParams, dedup_sentences, later_occurrences, sentences
 from stockweave.llm.simhash import SimHashParams, fingerprint, keep_one_of_each, links, linked, near_duplicates
-from stockweave.llm.substrings import Anchors, SubstringParams, dedup_substrings, repeated_windows
+from stockweave.llm.substrings import Anchors, SubstringParams, dedup_substrings, repeated_windows, run_rows
 from stockweave.llm.suffixes import suffix_array
 from stockweave.session import RUNTIME_SETTINGS
 
@@ -326,6 +326,19 @@ def test_edge_windows():
     assert sorted(repeated_windows(members)) == [(1, 0, 0), (1, 1, 1), (1, 2, 2), (2, 11, 11), (2, 12, 12)]
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repeats_of_a_batch_stay_out_of_the_join(docs, parts):
+    rnd = random.Random(parts)
+    texts = ["-" * 700, "ab" * 300, *patchwork(rnd, 20)] * 3 + ["-" * 90 + "x", "y" * 39, "z" * 40, "w" * 41]
+    frame = docs(list(enumerate(texts))).repartition(parts, "doc_id")
+    params = SubstringParams(length=40, gram=8, cell=5)
+    got = {r.doc_id: tuple(r)[1:5] for r in dedup_substrings(frame, params).collect()}
+    assert got == dict(enumerate(plain_removed([t.encode() for t in texts], params.length)))
+    nodes = run_rows(frame.select(F.col("doc_id").alias("row"), F.encode("text", "utf-8").alias("data")), params)
+    left = nodes.filter("not settled").groupBy("key", "full").count().agg(F.max("count")).first()[0]
+    assert left <= parts < nodes.groupBy("key", "full").count().agg(F.max("count")).first()[0]
+
+
 def test_substrings_of_awkward_rows(docs, awkward):
     rows = dedup_substrings(awkward).collect()
     assert len(rows) == awkward.count()
