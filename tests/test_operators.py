@@ -466,6 +466,46 @@ def test_density_noise_matches_all_pairs(spark, dims, eps, k, tile, block_dims):
     assert 0 < want.sum() < len(x)
 
 
+@pytest.mark.parametrize("dims,eps,k,leaf,tile", [(2, 0.3, 6, 60, 16), (4, 0.9, 8, 40, 1000), (12, 3.2, 10, 50, 32)])
+def test_density_noise_over_leaves(spark, dims, eps, k, leaf, tile):
+    """Neighbours of one point in many leaves, cores that only other leaves tell, copies over a cut."""
+    x, _ = _blobs(500, dims, seed=dims + 1)
+    x = np.vstack([x, np.repeat(x[:40], 3, axis=0), np.full((3, dims), 40.0), np.full((k, dims), -50.0)])
+    df, cols = _frame(spark, x)
+    noise = density.density_noise(df.repartition(5), cols, "user_id", eps, k, tile, leaf_rows=leaf)
+    got = {r.user_id: r.is_noise for r in noise.collect()}
+    want = _noise(x, eps, k)
+    assert [got[i] for i in range(len(x))] == [int(v) for v in want]
+    assert 0 < want.sum() < len(x)
+
+
+def test_density_sends_open_points_only(spark):
+    """What leaves a leaf are points it could not settle, each once per other leaf near it: the rows that meet
+    stay near the number of points, where whole tiles for every pair of tiles were many times as many."""
+    x = np.random.default_rng(3).normal(size=(4000, 6))
+    df, cols = _frame(spark, x)
+    known = density.distinct_points(df, cols)
+    leaves = density.point_leaves(known, len(x), 6, None, 500)
+    home = density.settle_at_home(known, leaves, 1.2, 5, 100).localCheckpoint()
+    sizes = [r.n for r in home.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == len(leaves) >= 6 and max(sizes) <= 750
+    open_rows = home.filter("NOT core").count()
+    met = density.meet_elsewhere(home, leaves, 1.2, 5, 100, 500)
+    assert open_rows < len(x) / 2 and met.count() <= open_rows
+    assert met.filter(F.size("others") >= 5 * len(leaves)).count() == 0
+
+
+def test_density_noise_unknown_coordinates(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(i, 0.01 * i, 0.0) for i in range(6)] + [(6, nan, 7.0), (7, 0.0, inf), (8, None, 0.0), (9, None, 9.0)]
+    data += [(10 + i, None, 5.0) for i in range(5)]  # five equal rows count as a crowd
+    df = spark.createDataFrame(data, "user_id long, a double, b double")
+    got = {r.user_id: r.is_noise for r in density.density_noise(df, ["a", "b"], "user_id", 1.0, 5).collect()}
+    assert [i for i, v in sorted(got.items()) if v] == [6, 7, 8, 9] and len(got) == len(data)
+    none = density.density_noise(df.filter("user_id > 99"), ["a", "b"], "user_id", 1.0, 5)
+    assert none.collect() == []
+
+
 def test_border_point_is_not_noise(spark):
     x = np.array([[i * 0.01, 0.0] for i in range(12)] + [[1.15, 0.0], [9.0, 9.0]])
     df, cols = _frame(spark, x)
