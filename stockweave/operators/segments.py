@@ -263,7 +263,7 @@ def persona_names(profile: DataFrame, power_label: Column | None = None) -> Data
 
 def outlier_labels(labels: DataFrame, noise: DataFrame) -> DataFrame:
     """(user_id, cluster_id, power_label): outliers (``is_noise``) become the cluster after the last."""
-    marked = labels.join(noise, "user_id")
+    marked = materialize(labels.join(noise, "user_id"), "marked")  # read for the last cluster and for the rows
     power = (marked.agg(F.max("cluster_id").alias("m")).scalar() + 1).cast("int")
     label = F.when(F.col("is_noise") == 1, power).otherwise(F.col("cluster_id")).cast("int")
     return marked.select("user_id", label.alias("cluster_id"), power.alias("power_label"))

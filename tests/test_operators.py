@@ -506,6 +506,22 @@ def test_density_noise_unknown_coordinates(spark):
     assert none.collect() == []
 
 
+def test_outlier_labels_make_the_noise_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def flag(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    noise = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "user_id long, is_noise int")
+    labels = spark.createDataFrame([(i, i % 3) for i in range(2, 44)], "user_id long, cluster_id int")
+    out = segments.outlier_labels(labels, noise.mapInArrow(flag, noise.schema)).collect()
+    want = {(i, 3 if i % 4 == 0 else i % 3, 3) for i in range(2, 40)}
+    assert {tuple(r) for r in out} == want and len(out) == len(want)
+    assert made.value == 40
+
+
 def test_border_point_is_not_noise(spark):
     x = np.array([[i * 0.01, 0.0] for i in range(12)] + [[1.15, 0.0], [9.0, 9.0]])
     df, cols = _frame(spark, x)
